@@ -33,6 +33,7 @@ PIECE = 1 << 17
 _rng = np.random.Generator(np.random.PCG64(77))
 BYTE = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FACTOR = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95]
+_POWERS: dict[int, tuple] = {}
 
 
 @dataclass(frozen=True)
@@ -82,6 +83,27 @@ def bucket_ids(values: np.ndarray, lane: int, size: int, steps: dict[int, np.nda
         power *= 2
 
 
+def powers(lane: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the lane's factor, and of its inverse, for a piece."""
+    if lane not in _POWERS:
+        n = PIECE * 2 + 4096
+        both = []
+        for f in (FACTOR[lane], pow(FACTOR[lane], -1, 2**64)):
+            x = np.full(n, f, np.uint64)
+            x[0] = 1
+            both.append(np.cumprod(x))
+        _POWERS[lane] = tuple(both)
+    return _POWERS[lane]
+
+
+def keys_at(values: np.ndarray, lane: int, size: int, at: np.ndarray) -> np.ndarray:
+    """Keys of the `size`-grams at some starts, from running sums."""
+    up, down = powers(lane)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return mix((sums[at + size] - sums[at]) * down[at] + ODD[20 + lane])
+
+
 def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
     have = 1
     n = len(x) - size + 1
@@ -94,8 +116,8 @@ def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
 class Segments:
     """The segments of some texts: row i of doc, start, size, gram; with lanes also the 128-bit key."""
 
-    def __init__(self, texts: list[bytes], kind: Kind, wanted: np.ndarray | None = None):
-        """wanted: sorted q-grams; only their segments are kept."""
+    def __init__(self, texts: list[bytes], kind: Kind, wanted: tuple[np.ndarray, int] | None = None):
+        """wanted: (sorted leading bits of q-grams, how many bits are cut off); only their segments are kept."""
         self.kind = kind
         parts: list[list[np.ndarray]] = [[] for _ in range(6)]
         self.lengths = np.zeros(len(texts), np.int64)
@@ -116,7 +138,7 @@ class Segments:
         self.doc, self.start, self.size = (join(p, np.int64) for p in parts[:3])
         self.gram, self.one, self.two = (join(p, np.uint64) for p in parts[3:])
 
-    def _add(self, held: list, parts: list, wanted: np.ndarray | None) -> None:
+    def _add(self, held: list, parts: list, wanted: tuple[np.ndarray, int] | None) -> None:
         kind, L = self.kind, self.kind.window
         sizes = np.array([len(x[2]) for x in held])
         a = np.concatenate([x[2] for x in held])
@@ -135,9 +157,9 @@ class Segments:
         close = np.ones(n, bool)
         close[:-1] = first[1:] | ~valid[1:]
         size = np.flatnonzero(close & valid) - at + 1
-        gram = low[at]
+        gram = mix(low[at] + ODD[12])  # least hashes are small ones; buckets need even leading bits
         if wanted is not None:
-            keep = found(gram, wanted)[1]
+            keep = found(gram >> np.uint64(wanted[1]), wanted[0])[1]
             at, size, gram = at[keep], size[keep], gram[keep]
         piece = np.searchsorted(ends, at, side="right")
         begin = (ends - sizes)[piece]
@@ -147,11 +169,16 @@ class Segments:
         parts[3].append(gram)
         if wanted is not None:
             last = at + size - 1
-            for lane, values in ((0, a), (1, None)):
-                if values is None:
-                    values = np.concatenate([x[3] for x in held])
-                ids = bucket_ids(values, lane, L, steps if lane == 0 else None)
-                parts[4 + lane].append(mix(ids[at] * ODD[8] + ids[last] * ODD[9] + size.astype(np.uint64) * ODD[10 + lane]))
+            ends_at = np.concatenate([at, last])
+            # a window's bucket: that of its q-gram, refined by those at later offsets
+            ids, done = steps[kind.gram][ends_at], kind.gram
+            while done < L:
+                more = min(kind.gram, L - done)
+                ids = ids * np.uint64(pow(FACTOR[0], more, 2**64)) + bucket_ids(a, 0, more, steps)[ends_at + done]
+                done += more
+            both = [mix(ids), keys_at(np.concatenate([x[3] for x in held]), 1, L, ends_at)]
+            for lane, ids in enumerate(both):
+                parts[4 + lane].append(mix(ids[: len(at)] * ODD[8] + ids[len(at) :] * ODD[9] + size.astype(np.uint64) * ODD[10 + lane]))
 
 
 def window_keys(texts: list[bytes], kind: Kind, doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,8 +192,7 @@ def window_keys(texts: list[bytes], kind: Kind, doc: np.ndarray, start: np.ndarr
             for k in range(0, len(values), PIECE):
                 here = at[(at >= k) & (at < k + PIECE)]
                 if len(here):
-                    ids = bucket_ids(values[k : k + PIECE + kind.window - 1], lane, kind.window)
-                    out[lane].append(mix(ids[here - k] + ODD[20 + lane]))
+                    out[lane].append(keys_at(values[k : k + PIECE + kind.window - 1], lane, kind.window, here - k))
     return tuple(np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out)  # type: ignore[return-value]
 
 
@@ -216,7 +242,7 @@ class Chunk:
         keys, counts = np.unique(gram, return_counts=True)
         return keys, counts > 1
 
-    def second(self, wanted: np.ndarray) -> tuple[Segments, np.ndarray, np.ndarray]:
+    def second(self, wanted: tuple[np.ndarray, int]) -> tuple[Segments, np.ndarray, np.ndarray]:
         s = Segments(self.texts, self.kind, wanted)
         first, of, _ = distinct([s.gram, s.one, s.two], self.docs[s.doc], s.start if self.kind.within else np.zeros(len(s.doc), np.int64))
         return s, first, of
@@ -264,26 +290,39 @@ def asked(chunk: int, keys: list[np.ndarray], docs: np.ndarray | None, pos: np.n
         rows["bucket"].append(int(lead[i]))
         rows["chunk"].append(chunk)
         if cut40:
-            k = keys[0][i:j] >> np.uint64(64 - bits - 40) if bits <= 24 else keys[0][i:j]
-            rows["keys"].append(k.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
+            rows["keys"].append(five(keys[0][i:j] >> np.uint64(24 - bits)))
         else:
             rows["keys"].append(np.stack([k[i:j] for k in keys], 1).tobytes())
-        rows["docs"].append(b"" if docs is None else docs[i:j].tobytes())
+        rows["docs"].append(b"" if docs is None else np.packbits(docs[i:j]).tobytes() if cut40 else docs[i:j].tobytes())
         rows["pos"].append(b"" if pos is None else pos[i:j].astype(np.int32).tobytes())
     return pa.table({"bucket": pa.array(rows["bucket"], pa.int64()), "chunk": pa.array(rows["chunk"], pa.int64()), **{k: pa.array(rows[k], pa.binary()) for k in ("keys", "docs", "pos")}})
 
 
+def five(keys: np.ndarray) -> bytes:
+    """The low 40 bits of each."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def eight(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
+    return wide.reshape(-1).view("<u8")
+
+
 def shared(table: pa.Table) -> pa.Table:
-    """Round 1 in a bucket: one bit a key, whether another chunk has it too."""
+    """Round 1 in a bucket: to each chunk those of its keys that it has twice or another chunk has too."""
     blobs = table["keys"].to_pylist()
     sizes = [len(b) // 5 for b in blobs]
-    wide = np.zeros((sum(sizes), 8), np.uint8)
-    wide[:, :5] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 5)
-    keys = wide.reshape(-1).view("<u8")
-    _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    more = counts[inverse] > 1
+    keys = eight(b"".join(blobs))
+    twice = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table["docs"].to_pylist(), sizes, strict=True)]).astype(bool)
+    order = keys.argsort(kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
+    more = twice
+    more[order[1:][same]] = True
+    more[order[:-1][same]] = True
     ends = np.cumsum(sizes)
-    return told(table, 1, [np.packbits(more[e - n : e]).tobytes() for e, n in zip(ends, sizes, strict=True)], sizes)
+    picked = [five(keys[e - n : e][more[e - n : e]]) for e, n in zip(ends, sizes, strict=True)]
+    return told(table, 1, picked, [len(x) // 5 for x in picked])
 
 
 def told(table: pa.Table, nth: int, bits: list[bytes], sizes: list[int], docs: list[bytes] | None = None, pos: list[bytes] | None = None) -> pa.Table:
@@ -316,13 +355,11 @@ def earliest(table: pa.Table, nth: int) -> pa.Table:
     return told(table, nth, [np.packbits(several[a:b]).tobytes() for a, b in spans], sizes, [d[a:b].tobytes() for a, b in spans], [p[a:b].tobytes() for a, b in spans])
 
 
-def known(chunk: Chunk, rows: list[dict]) -> tuple:
-    """From the answers so far: the chunk's q-grams that matter, its segments and their answers."""
-    by = {k: [r for r in rows if r["round"] == k] for k in (1, 2, 3)}
-    grams, twice = chunk.grams()
-    bits = np.concatenate([np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]) for r in sorted(by[1], key=lambda r: r["bucket"])]).astype(bool) if by[1] else np.zeros(0, bool)
-    wanted = grams[bits | twice] if len(grams) else grams
-    return wanted, by
+def known(rows: list[dict], bits: int) -> tuple[tuple[np.ndarray, int], dict[int, list[dict]]]:
+    """From the answers so far: the leading bits of the q-grams that matter, and the answers by round."""
+    by = {k: sorted((r for r in rows if r["round"] == k), key=lambda r: r["bucket"]) for k in (1, 2, 3)}
+    leads = [eight(r["bits"]) + (np.uint64(r["bucket"]) << np.uint64(40)) for r in by[1]]
+    return (np.concatenate(leads) if leads else np.zeros(0, np.uint64), 24 - bits), by
 
 
 def deal(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -331,7 +368,7 @@ def deal(docs: DataFrame) -> tuple[DataFrame, int]:
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), text_column(docs).alias("text"))
     total = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = max(1, -(-total // CHUNK_BYTES))
-    bits = max(0, (total // 14 // BUCKET_KEYS)).bit_length()
+    bits = min(24, (total // 14 // BUCKET_KEYS).bit_length())
 
     def squeeze(batches):
         c = zstandard.ZstdCompressor(3)
@@ -350,25 +387,25 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
     dealt, bits = deal(docs)
 
     def round_one(key, table):
-        grams, _ = Chunk(table, kind).grams()
-        return asked(key[0].as_py(), [grams], None, None, bits, True)
+        grams, twice = Chunk(table, kind).grams()
+        return asked(key[0].as_py(), [grams], twice, None, bits, True)
 
     def round_two(key, table, more):
         chunk = Chunk(table, kind)
-        wanted, _ = known(chunk, more.to_pylist())
+        wanted, _ = known(more.to_pylist(), bits)
         s, first, _ = chunk.second(wanted)
         return asked(key[0].as_py(), [s.gram[first], s.one[first], s.two[first]], chunk.docs[s.doc[first]], s.start[first] if kind.within else None, bits)
 
     def round_three(key, table, more):
         chunk = Chunk(table, kind)
-        wanted, by = known(chunk, more.to_pylist())
+        wanted, by = known(more.to_pylist(), bits)
         s, first, of = chunk.second(wanted)
         _, one, two, doc, pos, f, _ = chunk.third(s, first, of, answers(by[2]))
         return asked(key[0].as_py(), [one[f], two[f]], chunk.docs[doc[f]], pos[f] if kind.within else None, bits)
 
     def last(key, table, more):
         chunk = Chunk(table, kind)
-        wanted, by = known(chunk, more.to_pylist())
+        wanted, by = known(more.to_pylist(), bits)
         s, first, of = chunk.second(wanted)
         said = answers(by[2])
         own, _, _, w_doc, w_pos, _, c = chunk.third(s, first, of, said)
