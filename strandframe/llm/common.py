@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -30,8 +31,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """The same rows from the shared folder, without lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    shared_folder(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    # shuffle files behind an earlier checkpoint are of no more use; Spark drops them when their RDDs are collected
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """cut() of df dealt by a key; what groups by the key later needs no shuffle of it.
+
+    Spark keeps a checkpoint's partitioning only if its plan isn't adaptive.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(partitions(spark), key))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWEST, cut, many_shingles, partitions, text_column
+from .common import LOWEST, cut, dealt, many_shingles, text_column
 from .components import components
 
 K = 48
@@ -86,11 +86,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, k: int =
     any other, and null in the result. Rows with one doc_id and the same set give one row each, with different
     sets the same component. Other columns are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     made = cut(sketches(docs, words, k))
     filled = made.filter("n > 0")
     classes = cut(filled.groupBy("same").agg(F.min(F.struct("doc", "n", "sketch")).alias("x")).select("same", "x.*").withColumnRenamed("doc", "rep")).withColumnRenamed("rep", "doc")
-    lists = cut(listed(classes, percent, k).repartition(partitions(spark), "value"))
+    lists = dealt(listed(classes, percent, k), "value")
     several = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("value")
     active = lists.join(several, "value").select("doc").distinct()
 
@@ -100,7 +99,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, k: int =
             yield pa.record_batch([b.column(0), pa.array([c.compress(x) for x in b.column(1).to_pylist()], pa.binary())], names=["doc", "z"])
 
     small = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), text_column(docs).alias("text")).mapInArrow(squeeze, "doc long, z binary")
-    texts = cut(small.join(active, "doc", "left_semi").repartition(partitions(spark), "doc").dropDuplicates(["doc"]))
+    texts = dealt(small.join(active, "doc", "left_semi").dropDuplicates(["doc"]), "doc")
     shape = classes.select("doc", "n", "sketch")
 
     def verified(pairs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWEST, ODD, cut, mix, partitions, text_column, word_bounds, word_hashes
+from .common import LOWEST, ODD, cut, dealt, mix, text_column, word_bounds, word_hashes
 
 CHUNK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
@@ -364,7 +364,6 @@ def known(rows: list[dict], bits: int) -> tuple[tuple[np.ndarray, int], dict[int
 
 def deal(docs: DataFrame) -> tuple[DataFrame, int]:
     """(chunk, doc, z): the texts, compressed, checkpointed; and the bits of the bucket numbers."""
-    spark = docs.sparkSession
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), text_column(docs).alias("text"))
     total = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = max(1, -(-total // CHUNK_BYTES))
@@ -375,8 +374,8 @@ def deal(docs: DataFrame) -> tuple[DataFrame, int]:
         for b in batches:
             yield pa.record_batch([b.column(0), b.column(1), pa.array([c.compress(x) for x in b.column(2).to_pylist()], pa.binary())], names=["chunk", "doc", "z"])
 
-    dealt = own.select(F.pmod(F.xxhash64("doc", F.octet_length("text")), F.lit(chunks)).alias("chunk"), "doc", "text")
-    return cut(dealt.mapInArrow(squeeze, "chunk long, doc long, z binary").repartition(partitions(spark), "chunk")), bits
+    numbered = own.select(F.pmod(F.xxhash64("doc", F.octet_length("text")), F.lit(chunks)).alias("chunk"), "doc", "text")
+    return dealt(numbered.mapInArrow(squeeze, "chunk long, doc long, z binary"), "chunk"), bits
 
 
 def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray], dict[str, Any]], schema: pa.Schema, ddl: str) -> DataFrame:
@@ -384,7 +383,7 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
 
     starts are those of the windows under q-grams met elsewhere, ascending; all others start nowhere else.
     """
-    dealt, bits = deal(docs)
+    chunks, bits = deal(docs)
 
     def round_one(key, table):
         grams, twice = Chunk(table, kind).grams()
@@ -428,8 +427,8 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
         out = [finish(t, int(chunk.docs[i]), pos[cuts[i] : cuts[i + 1]], again[cuts[i] : cuts[i + 1]], src[cuts[i] : cuts[i + 1]], at[cuts[i] : cuts[i + 1]]) for i, t in enumerate(chunk.texts)]
         return pa.Table.from_pylist(out, schema)
 
-    with_told = lambda f, told_so_far, ddl: dealt.groupBy("chunk").cogroup(told_so_far.groupBy("chunk")).applyInArrow(f, ddl)
-    first = cut(dealt.groupBy("chunk").applyInArrow(round_one, ASKED_DDL).groupBy("bucket").applyInArrow(shared, TOLD_DDL))
+    with_told = lambda f, told_so_far, ddl: chunks.groupBy("chunk").cogroup(told_so_far.groupBy("chunk")).applyInArrow(f, ddl)
+    first = cut(chunks.groupBy("chunk").applyInArrow(round_one, ASKED_DDL).groupBy("bucket").applyInArrow(shared, TOLD_DDL))
     second = cut(with_told(round_two, first, ASKED_DDL).groupBy("bucket").applyInArrow(lambda t: earliest(t, 2), TOLD_DDL))
     third = cut(with_told(round_three, first.unionByName(second), ASKED_DDL).groupBy("bucket").applyInArrow(lambda t: earliest(t, 3), TOLD_DDL))
     return with_told(last, first.unionByName(second).unionByName(third), ddl)
