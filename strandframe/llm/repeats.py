@@ -271,9 +271,8 @@ class Answers:
 
 def answers(rows: list[dict]) -> Answers:
     rows = sorted(rows, key=lambda r: r["bucket"])
-    cat = lambda k, t: np.frombuffer(b"".join(r[k] for r in rows), t)
     bits = [np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]) for r in rows]
-    return Answers(cat("docs", np.int64), cat("pos", np.int64), np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool))
+    return Answers(loose([r["docs"] for r in rows], np.int64), loose([r["pos"] for r in rows], np.int64), np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool))
 
 
 TOLD = pa.schema([("chunk", pa.int64()), ("round", pa.int32()), ("bucket", pa.int64()), ("n", pa.int64()), ("docs", pa.binary()), ("pos", pa.binary()), ("bits", pa.binary())])
@@ -293,11 +292,21 @@ def asked(chunk: int, keys: list[np.ndarray], docs: np.ndarray | None, pos: np.n
             rows["keys"].append(five(keys[0][i:j] >> np.uint64(24 - bits)))
         else:
             rows["keys"].append(np.stack([k[i:j] for k in keys], 1).tobytes())
-        rows["docs"].append(b"" if docs is None else np.packbits(docs[i:j]).tobytes() if cut40 else docs[i:j].tobytes())
+        rows["docs"].append(b"" if docs is None else np.packbits(docs[i:j]).tobytes() if cut40 else tight(docs[i:j]))
         rows["pos"].append(b"" if pos is None else pos[i:j].astype(np.int32).tobytes())
     return pa.table({"bucket": pa.array(rows["bucket"], pa.int64()), "chunk": pa.array(rows["chunk"], pa.int64()), **{k: pa.array(rows[k], pa.binary()) for k in ("keys", "docs", "pos")}})
 
 
+def tight(x: np.ndarray) -> bytes:
+    """Few different values, compressed."""
+    return zstandard.ZstdCompressor(1).compress(x.tobytes())
+
+
+def loose(blobs, kind) -> np.ndarray:
+    un = zstandard.ZstdDecompressor()
+    return np.frombuffer(b"".join(un.decompress(b) for b in blobs if b), kind)
+
+
 def five(keys: np.ndarray) -> bytes:
     """The low 40 bits of each."""
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
@@ -336,7 +345,7 @@ def earliest(table: pa.Table, nth: int) -> pa.Table:
     blobs = table["keys"].to_pylist()
     sizes = [len(b) // (8 * width) for b in blobs]
     keys = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, width)
-    doc = np.frombuffer(b"".join(table["docs"].to_pylist()), np.int64)
+    doc = loose(table["docs"].to_pylist(), np.int64)
     raw = b"".join(table["pos"].to_pylist())
     pos = np.frombuffer(raw, np.int32).astype(np.int64) if raw else np.zeros(len(doc), np.int64)
     lanes = [np.ascontiguousarray(keys[:, i]) for i in range(width)]
@@ -352,7 +361,7 @@ def earliest(table: pa.Table, nth: int) -> pa.Table:
     d, p = doc[first][of], pos[first][of]
     ends = np.cumsum(sizes)
     spans = [(e - n, e) for e, n in zip(ends.tolist(), sizes, strict=True)]
-    return told(table, nth, [np.packbits(several[a:b]).tobytes() for a, b in spans], sizes, [d[a:b].tobytes() for a, b in spans], [p[a:b].tobytes() for a, b in spans])
+    return told(table, nth, [np.packbits(several[a:b]).tobytes() for a, b in spans], sizes, [tight(d[a:b]) for a, b in spans], [tight(p[a:b]) for a, b in spans])
 
 
 def known(rows: list[dict], bits: int) -> tuple[tuple[np.ndarray, int], dict[int, list[dict]]]:
