@@ -1,9 +1,10 @@
 """Near-duplicates by bottom-k sketches from one hash function.
 
 The sketch of a document is the k least hashes of its distinct word shingles. Equal sets are one class from
-then on. Inverted lists of the sketch values give the overlaps: two sets of Jaccard similarity 0.75 share at
-least OVERLAP of their k values but for a chance under 1e-9, so a class is listed only under its rarest
-values, as many as make a pair with that overlap meet. The union sketch's estimate filters, and sets are
+then on. Inverted lists of the sketch values give the overlaps: similar sets share a number
+of their k values that lies at most DEVIATIONS below the mean, but for a chance of about 2e-8, so a class is
+listed only under its rarest values, as many as make a pair with that overlap meet. Short documents, which
+common lines may fill, have longer sketches, and so hold more of their own. The union sketch's estimate filters, and sets are
 compared whole. Lists are not paired out: each round compares the members of a list with one of them, classes
 that were linked become one component, and only pairs of different components remain for the next.
 """
@@ -20,36 +21,49 @@ from pyspark.sql import functions as F
 from .common import LOWEST, cut, dealt, many_shingles, text_column
 from .components import components
 
-K = 48
-OVERLAP = 16
+K, K_SHORT, SHORT = 48, 128, 256
+DEVIATIONS = 5.5
 ROUNDS = 6
 
 
-def sketches(docs: DataFrame, words: int = 5, k: int = K) -> DataFrame:
-    """(doc, n, same, sketch): the number of shingles, a 128-bit digest of their set, the k least hashes."""
+def overlap(n, k: int, percent: int):
+    """The values that a set of n shares, at least, with a similar one in the bottom k of their union."""
+    share = percent / 100
+    union = F.greatest(F.ceil(n / share), F.lit(k + 1))
+    spread = F.sqrt(k * share * (1 - share) * (union - k) / (union - 1))
+    return F.greatest(F.least(F.ceil(n * percent / 100), F.floor(k * share - DEVIATIONS * spread)), F.lit(1)).cast("int")
+
+
+def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
+    """(doc, n, same, sketch): the number of shingles, a 128-bit digest of their set, the K least hashes, of sets of up to SHORT the K_SHORT least."""
 
     def make(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 sets = many_shingles(part.column(1).to_pylist(), words)
-                yield pa.record_batch([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([x[:k] for x in sets], pa.list_(pa.int64()))], names=["doc", "n", "same", "sketch"])
+                yield pa.record_batch([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([x[: K if len(x) > SHORT else K_SHORT] for x in sets], pa.list_(pa.int64()))], names=["doc", "n", "same", "sketch"])
 
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), text_column(docs).alias("text"))
     return own.mapInArrow(make, "doc long, n long, same binary, sketch array<long>")
 
 
-def estimate(a, b, k: int):
-    """The share of the union's k least hashes that both sketches have."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, k)
-    return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
+def estimate(a, b, k):
+    """How many of the union's k least hashes both sketches have."""
+    union = F.slice(F.array_sort(F.array_union(a, b)), F.lit(1), k)
+    return F.size(F.array_intersect(union, F.array_intersect(a, b)))
+
+
+def needed(n, percent: int):
+    """overlap() by a set's own sketch, or by K where a similar set may have that."""
+    return F.when(n <= SHORT * percent // 100, overlap(n, K_SHORT, percent)).otherwise(overlap(n, K, percent))
 
 
-def listed(classes: DataFrame, percent: int, k: int) -> DataFrame:
+def listed(classes: DataFrame, percent: int) -> DataFrame:
     """(value, doc, n): the inverted lists, without values that only one class has."""
     rows = classes.select("doc", "n", F.explode("sketch").alias("value"))
     often = rows.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    need = F.least(F.lit(OVERLAP), F.ceil(F.col("n") * percent / 100))
+    need = needed(F.col("n"), percent)
     own = rows.join(often, "value").groupBy("doc", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("values"))
     # the values that no other class has come before all these
     return own.withColumn("most", (F.size("values") - need + 1).cast("int")).filter("most > 0").select("doc", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "doc", "n")
@@ -77,7 +91,7 @@ def compared(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     return both.select("a", "b", "za", "zb").mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, k: int = K) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each document.
 
     Two documents are linked when 100 * intersection >= percent * union of their sets of shingles of `words`
@@ -86,10 +100,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, k: int =
     any other, and null in the result. Rows with one doc_id and the same set give one row each, with different
     sets the same component. Other columns are ignored; an empty table gives an empty result.
     """
-    made = cut(sketches(docs, words, k))
+    made = cut(sketches(docs, words))
     filled = made.filter("n > 0")
     classes = cut(filled.groupBy("same").agg(F.min(F.struct("doc", "n", "sketch")).alias("x")).select("same", "x.*").withColumnRenamed("doc", "rep")).withColumnRenamed("rep", "doc")
-    lists = dealt(listed(classes, percent, k), "value")
+    lists = dealt(listed(classes, percent), "value")
     several = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("value")
     active = lists.join(several, "value").select("doc").distinct()
 
@@ -104,9 +118,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, k: int =
 
     def verified(pairs: DataFrame) -> DataFrame:
         """pairs: distinct (a, b), a < b."""
-        with_a = pairs.join(shape.select(F.col("doc").alias("a"), F.col("sketch").alias("sa")), "a")
-        both = with_a.join(shape.select(F.col("doc").alias("b"), F.col("sketch").alias("sb")), "b")
-        likely = both.filter(estimate(F.col("sa"), F.col("sb"), k) >= OVERLAP / K).select("a", "b")
+        with_a = pairs.join(shape.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
+        both = with_a.join(shape.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+        k = F.when(F.greatest("na", "nb") > SHORT, K).otherwise(K_SHORT)
+        likely = both.filter(estimate(F.col("sa"), F.col("sb"), k) >= F.least(needed(F.col("na"), percent), needed(F.col("nb"), percent))).select("a", "b")
         return cut(compared(likely, texts, percent, words))
 
     def close(x: str, y: str):
