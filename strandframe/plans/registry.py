@@ -1,6 +1,177 @@
-"""Queries by name, and their SQL."""
+"""Queries by name, and their SQL over the tables that the files were made from."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from strandframe.operators.regions import Region, overlap_join
+from strandframe.sources import api
+from strandframe.sources.fixtures import SEQUENCE, made
+
+BED_SQL = "(SELECT 'chr' || (user_id % 5 + 1) AS chrom, event_id * 10 AS s, event_id * 10 + 50 + event_id % 100 AS e, event_type AS name, event_id FROM events)"
+READ_SQL = "(SELECT 'r' || o_orderkey AS n, CASE WHEN o_orderkey % 11 = 0 THEN 4 WHEN o_orderkey % 2 = 1 THEN 99 ELSE 147 END AS flags, 'chr' || (o_custkey % 3 + 1) AS ref, o_orderkey * 10 + 1 AS pos, 31 - o_orderkey % 10 AS span, o_orderkey % 61 AS mapq, o_orderkey AS k, o_orderpriority AS rg FROM orders)"
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str, *names: str):
+    """Registers a function (spark, sf_dir, file name's extension or name) under names; `name=file` passes the file."""
+
+    def keep(f):
+        for n in names or (f.__name__,):
+            key, _, file = n.partition("=")
+            QUERIES[key] = (lambda spark, sf_dir, file=file: f(spark, sf_dir, file)) if file else (lambda spark, sf_dir: f(spark, sf_dir))
+            ORACLE_SQL[key] = sql
+        return f
+
+    return keep
+
+
+def load(spark, sf_dir, name, **options):
+    kind = name.split(".", 1)[1].split(".")[0]
+    return api.read(spark, {"fa": "fasta", "sam": "bam"}.get(kind, kind), made(spark, sf_dir, name), **options)
+
+
+@query(f"SELECT chrom, s AS chromStart, e AS chromEnd, name, CAST(event_id % 1000 AS INTEGER) AS score, CASE event_id % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' END AS strand FROM {BED_SQL}", "scan_bed=events.bed", "scan_bed_gz=events.bed.gz")
+def scan_bed(spark, sf_dir, file):
+    return load(spark, sf_dir, file).select("chrom", "chromStart", "chromEnd", "name", "score", "strand")
+
+
+@query(f"SELECT chrom, s AS chromStart FROM {BED_SQL}")
+def bed_split(spark, sf_dir):
+    return load(spark, sf_dir, "events.bed", bedSplitSize=4096).select("chrom", "chromStart")
+
+
+@query(f"SELECT chrom, count(*) AS n FROM {BED_SQL} GROUP BY chrom")
+def intervals_per_chrom(spark, sf_dir):
+    return load(spark, sf_dir, "events.bed").groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT chrom, s AS chromStart, e AS chromEnd FROM {BED_SQL} WHERE chrom = 'chr2' AND s + 1 <= 5000 AND e >= 1000")
+def bed_region_option(spark, sf_dir):
+    return load(spark, sf_dir, "events.bed.gz", region="chr2:1,000-5,000").select("chrom", "chromStart", "chromEnd")
+
+
+@query(f"SELECT chrom, s AS chromStart FROM {BED_SQL} WHERE chrom = 'chr2' AND s >= 500")
+def bed_region(spark, sf_dir):
+    return load(spark, sf_dir, "events.bed").filter("chrom = 'chr2' AND chromStart >= 500").select("chrom", "chromStart")
+
+
+VCF_SQL = "SELECT 'chr' || (o_custkey % 3 + 1) AS chrom, CAST(o_orderkey AS INTEGER) AS pos, CASE WHEN o_orderkey % 4 <> 0 THEN 'rs' || o_orderkey END AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'G,T' ELSE 'C' END AS alt, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 90 AS DOUBLE) END AS qual, CAST(o_orderkey % 60 AS VARCHAR) AS dp, 'true' AS somatic, '1/1:' || (o_orderkey % 20) AS s2 FROM orders"
+
+
+@query(VCF_SQL, "scan_vcf=orders.vcf", "scan_vcf_gz=orders.vcf.gz", "vcf_info=orders.vcf", "vcf_genotypes=orders.vcf", "vcf_nulls=orders.vcf")
+def scan_vcf(spark, sf_dir, file):
+    return load(spark, sf_dir, file).select("chrom", "pos", "id", F.concat_ws(",", "alt").alias("alt"), "qual", F.element_at("info", "DP").alias("dp"), F.element_at("info", "SOMATIC").alias("somatic"), F.element_at("genotypes", "S2").alias("s2"))
+
+
+@query("SELECT 'chr' || (o_custkey % 3 + 1) AS chrom, count(*) AS n FROM orders GROUP BY 1")
+def variants_per_chrom(spark, sf_dir):
+    return load(spark, sf_dir, "orders.vcf", vcfSplitSize=65536).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT CAST(o_orderkey AS INTEGER) AS pos FROM orders WHERE o_custkey % 3 = 0 AND o_orderkey BETWEEN 100 AND 900", "vcf_region_option=region", "vcf_region=filter")
+def vcf_region(spark, sf_dir, how):
+    if how == "region":
+        return load(spark, sf_dir, "orders.vcf", region="chr1:100-900").select("pos")
+    return load(spark, sf_dir, "orders.vcf").filter("chrom = 'chr1' AND pos BETWEEN 100 AND 900").select("pos")
+
+
+@query("SELECT CAST(o_orderkey AS INTEGER) AS pos FROM orders WHERE o_orderkey % 60 > 30")
+def vcf_info_filter(spark, sf_dir):
+    return load(spark, sf_dir, "orders.vcf").filter(F.element_at("info", "DP").cast("int") > 30).select("pos")
+
+
+@query("SELECT CAST(o_orderkey AS INTEGER) AS pos FROM orders WHERE o_orderkey % 2 = 1")
+def vcf_het_calls(spark, sf_dir):
+    return load(spark, sf_dir, "orders.vcf").filter(F.split(F.element_at("genotypes", "S1"), ":")[0].isin("0/1", "1/0")).select("pos")
+
+
+@query(f"SELECT n_name AS name, {SEQUENCE.format('n_nationkey')} AS sequence, CAST(32 AS BIGINT) AS length FROM nation")
+def scan_fasta(spark, sf_dir):
+    return load(spark, sf_dir, "nation.fa")
+
+
+@query(f"SELECT n_name AS name, 32 - length(replace(replace({SEQUENCE.format('n_nationkey')}, 'G', ''), 'C', '')) AS gc FROM nation")
+def gc_content(spark, sf_dir):
+    return load(spark, sf_dir, "nation.fa").select("name", F.length(F.regexp_replace(F.upper("sequence"), "[^GC]", "")).cast("long").alias("gc"))
+
+
+@query("SELECT n_name AS name, CAST(32 AS BIGINT) AS length FROM nation ORDER BY name LIMIT 10")
+def contigs_by_length(spark, sf_dir):
+    return load(spark, sf_dir, "nation.fa").orderBy(F.desc("length"), "name").limit(10).select("name", "length")
+
+
+FASTQ_SQL = f"SELECT 'read' || p_partkey AS readName, {SEQUENCE.format('p_partkey')} AS sequence, CASE WHEN p_partkey % 3 <> 0 THEN p_brand END AS description, CAST(1 AS INTEGER) AS readNumber FROM part"
+
+
+@query(FASTQ_SQL, "scan_fastq=part_R1_001.fastq", "scan_fastq_gz=part_R1_001.fastq.gz", "fastq_read_number=part_R1_001.fastq")
+def scan_fastq(spark, sf_dir, file):
+    return load(spark, sf_dir, file).select("readName", "sequence", "description", "readNumber")
+
+
+@query(f"SELECT 'read' || p_partkey AS readName, {SEQUENCE.format('p_partkey')} AS s1, {SEQUENCE.format('100 + p_partkey')} AS s2 FROM part")
+def fastq_pair_join(spark, sf_dir):
+    one, two = (load(spark, sf_dir, f"part_R{i}_001.fastq").select("readName", F.col("sequence").alias(f"s{i}")) for i in (1, 2))
+    return one.join(two, "readName")
+
+
+@query(f"SELECT n AS readName, CAST(flags AS INTEGER) AS flags, ref AS referenceName, pos AS start, CAST(mapq AS INTEGER) AS mappingQuality, (32 - span) || 'S' || span || 'M' AS cigar, 'i:' || (k % 8) AS nm, 'Z:' || rg AS rg, pos - 1 AS start0 FROM {READ_SQL}", "scan_sam=orders.sam", "scan_bam=orders.bam", "bam_tags=orders.bam", "sam_split=orders.sam")
+def scan_bam(spark, sf_dir, file):
+    return load(spark, sf_dir, file, samSplitSize=1 << 20).select("readName", "flags", "referenceName", "start", "mappingQuality", "cigar", F.element_at("attributes", "NM").alias("nm"), F.element_at("attributes", "RG").alias("rg"), "start0")
+
+
+@query(f"SELECT ref AS rname, count(*) AS n FROM {READ_SQL} GROUP BY ref")
+def reads_per_reference(spark, sf_dir):
+    return load(spark, sf_dir, "orders.bam", columnNames="sam", columns="rname").groupBy("rname").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT n AS readName FROM {READ_SQL} WHERE (flags & 4) = 0 AND (flags & 64) <> 0 AND mapq >= 30", "flag_filter", "first_of_pair", "hq_reads_chain")
+def flag_filter(spark, sf_dir):
+    f = F.col("flags")
+    return load(spark, sf_dir, "orders.bam").filter((f.bitwiseAND(4) == 0) & (f.bitwiseAND(64) != 0) & (F.col("mappingQuality") >= 30)).select("readName")
+
+
+@query(f"SELECT n AS readName FROM {READ_SQL} WHERE ref = 'chr2' AND pos <= 20000 AND pos + span - 1 >= 1000")
+def bam_region_option(spark, sf_dir):
+    return load(spark, sf_dir, "orders.bam", region="chr2:1000-20000").select("readName")
+
+
+@query(f"SELECT n AS readName FROM {READ_SQL} WHERE ref = 'chr2' AND pos BETWEEN 1000 AND 20000", "bam_region_helper", "bam_region", "region_overlap")
+def bam_region_helper(spark, sf_dir):
+    return api.read_bam_region(spark, made(spark, sf_dir, "orders.bam"), Region("chr2", 1000, 20000)).select("readName")
+
+
+@query(f"SELECT n AS readName FROM {READ_SQL} WHERE ref = 'chr3' AND pos > 500")
+def sql_view_region(spark, sf_dir):
+    api.register_all(spark)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW strandframe_reads USING bam OPTIONS (path '{made(spark, sf_dir, 'orders.bam')}')")
+    return spark.sql("SELECT readName FROM strandframe_reads WHERE referenceName = 'chr3' AND start > 500")
+
+
+@query(f"SELECT n AS readName, s AS chromStart, name FROM {READ_SQL} r JOIN {BED_SQL} b ON r.ref = b.chrom AND r.pos - 1 < b.e AND b.s < r.pos - 1 + r.span", "bam_bed_overlap=plain", "bam_bed_overlap_binned=binned")
+def bam_bed_overlap(spark, sf_dir, how):
+    reads = load(spark, sf_dir, "orders.bam").withColumn("end0", F.col("start0") + F.regexp_extract("cigar", "([0-9]+)M", 1).cast("long"))
+    return overlap_join(reads, load(spark, sf_dir, "events.bed"), ("referenceName", "chrom"), ("start0", "end0"), ("chromStart", "chromEnd"), 1 << 12 if how == "binned" else None).select("readName", "chromStart", "name")
+
+
+@query(f"SELECT n AS readName FROM {READ_SQL} r WHERE NOT EXISTS (SELECT 1 FROM {BED_SQL} b WHERE r.ref = b.chrom AND r.pos - 1 >= b.s AND r.pos - 1 < b.e)")
+def reads_outside_peaks(spark, sf_dir):
+    bed = load(spark, sf_dir, "events.bed")
+    return load(spark, sf_dir, "orders.bam").join(bed, (F.col("referenceName") == F.col("chrom")) & (F.col("start0") >= F.col("chromStart")) & (F.col("start0") < F.col("chromEnd")), "left_anti").select("readName")
+
+
+@query("SELECT 'events.bed' AS file_name, count(*) AS n FROM events")
+def metadata_column(spark, sf_dir):
+    return load(spark, sf_dir, "events.bed", metadata="true").groupBy("_metadata.file_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 2 * count(*) AS n FROM events")
+def scan_multi_file(spark, sf_dir):
+    files = [made(spark, sf_dir, "events.bed"), made(spark, sf_dir, "events.bed.gz")]
+    return api.read_bed(spark, files).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT count(DISTINCT n) AS n FROM {READ_SQL}")
+def distinct_read_names(spark, sf_dir):
+    return load(spark, sf_dir, "orders.sam").select("readName").distinct().agg(F.count(F.lit(1)).alias("n"))
