@@ -5,8 +5,11 @@ then on. Inverted lists of the sketch values give the overlaps: similar sets sha
 of their k values that lies at most DEVIATIONS below the mean, but for a chance of about 2e-8, so a class is
 listed only under its rarest values, as many as make a pair with that overlap meet. Short documents, which
 common lines may fill, have longer sketches, and so hold more of their own. The union sketch's estimate filters, and sets are
-compared whole. Lists are not paired out: each round compares the members of a list with one of them, classes
-that were linked become one component, and only pairs of different components remain for the next.
+compared whole. Lists are not paired out: each class is compared with one class of each of its lists, and takes
+one of these as its leader. Two classes of one leader are linked either by what each shares with the leader,
+which bounds their intersection, or share something beside it, by which they are listed anew. Classes of
+different leaders meet in the lists: each round compares the members with one of them, classes that were linked
+become one component, and only pairs of different components remain for the next.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from .components import components
 
 K, K_SHORT, SHORT = 48, 128, 256
 DEVIATIONS = 5.5
-ROUNDS = 6
+ROUNDS = 1
 
 
 def overlap(n, k: int, percent: int):
@@ -69,26 +72,79 @@ def listed(classes: DataFrame, percent: int) -> DataFrame:
     return own.withColumn("most", (F.size("values") - need + 1).cast("int")).filter("most > 0").select("doc", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "doc", "n")
 
 
-def compared(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """The (a, b) of pairs whose whole sets are similar enough; texts: (doc, z)."""
+def compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(a, b, na, nb, both) of pairs: the sizes of their whole sets and of the intersection; texts: (doc, z)."""
 
     def check(batches):
         un = zstandard.ZstdDecompressor()
         last: tuple = (None, None)
         for batch in batches:
             a, b, za, zb = (batch.column(i).to_pylist() for i in range(4))
-            keep = []
+            sizes = []
             for i in range(len(a)):
                 if last[0] != b[i]:
                     last = (b[i], many_shingles([un.decompress(zb[i])], words)[0])
                 x, y = many_shingles([un.decompress(za[i])], words)[0], last[1]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                sizes.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+            columns = np.array(sizes, np.int64).reshape(-1, 3).T
+            yield pa.record_batch([batch.column(0), batch.column(1), *map(pa.array, columns)], names=["a", "b", "na", "nb", "both"])
 
     with_a = pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
     both = with_a.join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b")
-    return both.select("a", "b", "za", "zb").mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "za", "zb").mapInArrow(check, "a long, b long, na long, nb long, both long")
+
+
+def linked(sizes: DataFrame, percent: int) -> DataFrame:
+    return sizes.filter((F.col("both") > 0) & (F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent)).select("a", "b")
+
+
+def leaders(lists: DataFrame, centre: DataFrame) -> DataFrame:
+    """(doc, n, leader): of the centres of a class's lists, of those it meets a quarter as often as any, that of most list rows."""
+    met = lists.join(centre.select("value", F.col("d").alias("leader")), "value").groupBy("doc", "n", "leader").agg(F.count(F.lit(1)).alias("times"))
+    fame = met.groupBy("leader").agg(F.sum("times").alias("fame"))
+    own = met.join(fame, "leader").groupBy("doc", "n").agg(F.collect_list(F.struct("fame", (-F.col("leader")).alias("minus"), "leader", "times")).alias("x"), F.max("times").alias("most"))
+    return own.select("doc", "n", F.array_max(F.filter("x", lambda y: y["times"] * 4 >= F.col("most")))["leader"].alias("leader"))
+
+
+def inside(led: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of one leader that may be linked by what they share with it alone; led: (doc, n, leader, i, component, of).
+
+    i is the intersection with the leader; sets of n and m that are linked share (n + m) * percent / (100 + percent)
+    at least, so m <= i * (100 + percent) / percent - n. Classes that hang with the leader already need no pairing.
+    """
+    most = F.floor(F.col("i") * (100 + percent) / percent) - F.col("n")
+    ask = led.filter("component != of").withColumn("from", F.ceil(F.col("n") * percent / 100)).withColumn("to", F.least(F.floor(F.col("n") * 100 / percent), most)).filter("`from` <= to")
+    ask = ask.select("leader", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.explode(F.sequence("from", "to")).alias("nb"))
+    other = led.select("leader", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), most.alias("room"))
+    met = ask.join(other, ["leader", "nb"]).filter((F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("room")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def outside(led: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """(value, doc, n): lists of what classes of one leader share beside it, whole sets, for leaders with classes that do not hang with them."""
+
+    def rest(batches):
+        un = zstandard.ZstdDecompressor()
+        last: tuple = (None, None)
+        for batch in batches:
+            leader, zd, zl = (batch.column(i).to_pylist() for i in (2, 4, 5))
+            out = []
+            for i in range(len(leader)):
+                if last[0] != leader[i]:
+                    last = (leader[i], many_shingles([un.decompress(zl[i])], words)[0])
+                out.append(np.setdiff1d(many_shingles([un.decompress(zd[i])], words)[0], last[1], assume_unique=True))
+            yield pa.record_batch([*(batch.column(i) for i in range(4)), pa.array(out, pa.list_(pa.int64()))], names=["doc", "n", "leader", "i", "rest"])
+
+    open_ = led.filter("component != of").select("leader").distinct()
+    rows = led.join(open_, "leader", "left_semi").filter("n > i").select("doc", "n", "leader", "i")
+    rows = rows.join(texts.select("doc", F.col("z").alias("zd")), "doc").join(texts.select(F.col("doc").alias("leader"), F.col("z").alias("zl")), "leader")
+    made = rows.select("doc", "n", "leader", "i", "zd", "zl").mapInArrow(rest, "doc long, n long, leader long, i long, rest array<long>")
+    each = cut(made.select("doc", "n", "i", F.explode("rest").alias("u"), "leader").select("doc", "n", "i", F.xxhash64("leader", "u").alias("value")))
+    often = each.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    own = each.join(often, "value").groupBy("doc", "n", "i").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("values"))
+    need = F.greatest(F.ceil(F.col("n") * percent / 100) - F.col("i"), F.lit(1))
+    most = (F.size("values") - need + 1).cast("int")
+    return own.withColumn("most", most).filter("most > 0").select("doc", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "doc", "n")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
@@ -116,45 +172,68 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     texts = dealt(small.join(active, "doc", "left_semi").dropDuplicates(["doc"]), "doc")
     shape = classes.select("doc", "n", "sketch")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """pairs: distinct (a, b), a < b."""
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Of distinct (a, b), a < b, those that the estimate allows."""
         with_a = pairs.join(shape.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
         both = with_a.join(shape.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
         k = F.when(F.greatest("na", "nb") > SHORT, K).otherwise(K_SHORT)
-        likely = both.filter(estimate(F.col("sa"), F.col("sb"), k) >= F.least(needed(F.col("na"), percent), needed(F.col("nb"), percent))).select("a", "b")
-        return cut(compared(likely, texts, percent, words))
+        return both.filter(estimate(F.col("sa"), F.col("sb"), k) >= F.least(needed(F.col("na"), percent), needed(F.col("nb"), percent))).select("a", "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return linked(compared(likely(pairs), texts, words), percent)
 
     def close(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
-    links = None
-    state = lists.withColumn("component", F.col("doc"))
+    def ordered(x: str, y: str):
+        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """rows with the component of their doc."""
+        return rows.join(components(links).withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+    # each class with the least of each of its lists, and with its leader whatever the estimate
+    centre = cut(lists.groupBy("value").agg(F.min(F.struct("doc", "n")).alias("x"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("value", F.col("x.doc").alias("d"), F.col("x.n").alias("m")))
+    lead = cut(leaders(lists, centre))
+    first = lists.join(centre, "value").filter((F.col("doc") != F.col("d")) & close("n", "m")).select(*ordered("doc", "d")).distinct()
+    follow = lead.filter("doc != leader").select(*ordered("doc", "leader"))
+    sizes = cut(compared(likely(first).union(follow).distinct(), texts, words))
+    links = cut(linked(sizes, percent))
+    shared = lead.select("doc", "n", "leader", *ordered("doc", "leader")).join(sizes.select("a", "b", "both"), ["a", "b"], "left")
+    led = labelled(shared.select("doc", "n", "leader", F.coalesce("both", "n").alias("i")), links)
+    led = cut(led.join(led.filter("doc = leader").select("leader", F.col("component").alias("own")), "leader", "left").withColumn("of", F.coalesce("own", "leader")).drop("own"))
+    # those of one leader: by what they share with it, by lists of what they share beside it; of several: by the lists
+    links = cut(links.union(verified(inside(led, percent))))
+    beside = outside(led, texts, percent, words).select("value", "doc", "n", F.col("doc").alias("side"))
+    across = lists.join(lead.select("doc", "leader"), "doc").select("value", "doc", "n", F.col("leader").alias("side"))
+    lists = cut(across.union(beside))
     for nth in range(ROUNDS + 1):
-        # value lists that still hold several components, and how many pairs of these they have
-        sizes = state.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("value").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-        open_ = cut(state.join(sizes.select("value"), "value"))
-        left = sizes.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0.0)).alias("pairs"), F.coalesce(F.sum("m"), F.lit(0)).alias("rows")).first()
+        state = labelled(lists, links)
+        # value lists that still hold several components and sides, and how many pairs of these they have
+        square = lambda c: F.sum(F.col(c) * F.col(c))
+        both = state.groupBy("value", "component", "side").agg(F.count(F.lit(1)).alias("c"))
+        by_side = both.groupBy("value", "side").agg(F.sum("c").alias("c")).groupBy("value").agg(square("c").alias("sides"), F.count(F.lit(1)).alias("n_sides"))
+        by_part = both.groupBy("value", "component").agg(F.sum("c").alias("c"), square("c").alias("both")).groupBy("value").agg(F.sum("c").alias("m"), square("c").alias("parts"), F.sum("both").alias("both"), F.count(F.lit(1)).alias("n_parts"))
+        several = by_part.filter("n_parts > 1").join(by_side.filter("n_sides > 1"), "value").withColumn("pairs", (F.col("m") * F.col("m") - F.col("parts") - F.col("sides") + F.col("both")) / 2).filter("pairs > 0")
+        open_ = cut(state.join(several.select("value", "m", "pairs"), "value"))
+        left = open_.agg(F.coalesce(F.sum(F.col("pairs") / F.col("m")), F.lit(0.0)).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
         if not left["rows"]:
             break
         last = nth == ROUNDS or left["pairs"] <= 2 * left["rows"]
-        other = open_.select("value", F.col("doc").alias("d"), F.col("n").alias("m"), F.col("component").alias("o"))
+        other = open_.select("value", F.col("doc").alias("d"), F.col("n").alias("nd"), F.col("component").alias("o"), F.col("side").alias("p"))
+        if not last:
+            other = other.groupBy("value").agg(F.min(F.struct(F.xxhash64("o", F.lit(nth)), "d", "nd", "o", "p")).alias("x")).select("value", "x.d", "x.nd", "x.o", "x.p")
+        met = open_.join(other, "value").filter((F.col("component") != F.col("o")) & (F.col("side") != F.col("p")) & close("n", "nd"))
         if last:
-            met = open_.join(other, "value").filter((F.col("component") != F.col("o")) & (F.col("doc") < F.col("d")) & close("n", "m"))
-        else:
-            centre = open_.groupBy("value").agg(F.min(F.struct(F.xxhash64("component", F.lit(nth)) if nth else F.lit(0), "doc", "n", "component")).alias("x")).select("value", F.col("x.doc").alias("d"), F.col("x.n").alias("m"), F.col("x.component").alias("o"))
-            met = open_.join(centre, "value").filter((F.col("component") != F.col("o")) & close("n", "m"))
-        pairs = met.select(F.least("doc", "d").alias("a"), F.greatest("doc", "d").alias("b")).distinct()
-        new = verified(pairs)
-        if not new.isEmpty():
-            links = cut(new if links is None else links.union(new))
-            parts = components(links)
-            state = cut(lists.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select("value", "doc", "n", F.coalesce("component", "doc").alias("component")))
+            met = met.filter("doc < d")
+        links = cut(links.union(verified(met.select(*ordered("doc", "d")).distinct())))
+        lists = open_.select("value", "doc", "n", "side")
         if last:
             break
     of = classes.select("same", F.col("doc").alias("rep"))
     # rows of one doc_id with different texts hold their classes together
     twice = filled.join(of, "same").groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("a", "b")
-    edges = twice if links is None else links.union(twice)
+    edges = links.union(twice)
     if not edges.isEmpty():
         of = of.join(components(edges).withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("component", "rep").alias("rep"))
     out = made.join(of, "same", "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("component"))
