@@ -172,12 +172,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     texts = dealt(small.join(active, "doc", "left_semi").dropDuplicates(["doc"]), "doc")
     shape = classes.select("doc", "n", "sketch")
 
+    def alike(sa: str, sb: str, na: str, nb: str):
+        k = F.when(F.greatest(na, nb) > SHORT, K).otherwise(K_SHORT)
+        return estimate(F.col(sa), F.col(sb), k) >= F.least(needed(F.col(na), percent), needed(F.col(nb), percent))
+
     def likely(pairs: DataFrame) -> DataFrame:
         """Of distinct (a, b), a < b, those that the estimate allows."""
         with_a = pairs.join(shape.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
         both = with_a.join(shape.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-        k = F.when(F.greatest("na", "nb") > SHORT, K).otherwise(K_SHORT)
-        return both.filter(estimate(F.col("sa"), F.col("sb"), k) >= F.least(needed(F.col("na"), percent), needed(F.col("nb"), percent))).select("a", "b")
+        return both.filter(alike("sa", "sb", "na", "nb")).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
         return linked(compared(likely(pairs), texts, words), percent)
@@ -220,16 +223,22 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         if not left["rows"]:
             break
         last = nth == ROUNDS or left["pairs"] <= 2 * left["rows"]
-        other = open_.select("value", F.col("doc").alias("d"), F.col("n").alias("nd"), F.col("component").alias("o"), F.col("side").alias("p"))
+        if last:
+            # each pair once, in the first list that both are in, and only if the estimate allows it
+            held = open_.groupBy("doc", "side").agg(F.collect_list("value").alias("values"))
+            open_ = open_.join(held, ["doc", "side"]).join(shape.select("doc", "sketch"), "doc")
+        more = ["values", "sketch"] if last else []
+        names = {"doc": "d", "n": "nd", "component": "o", "side": "p", "values": "values_d", "sketch": "sketch_d"}
+        other = open_.select("value", *(F.col(c).alias(names[c]) for c in ["doc", "n", "component", "side", *more]))
         if not last:
             other = other.groupBy("value").agg(F.min(F.struct(F.xxhash64("o", F.lit(nth)), "d", "nd", "o", "p")).alias("x")).select("value", "x.d", "x.nd", "x.o", "x.p")
         met = open_.join(other, "value").filter((F.col("component") != F.col("o")) & (F.col("side") != F.col("p")) & close("n", "nd"))
         if last:
-            met = met.filter("doc < d")
+            met = met.filter((F.col("doc") < F.col("d")) & (F.array_min(F.array_intersect("values", "values_d")) == F.col("value")) & alike("sketch", "sketch_d", "n", "nd"))
+            links = cut(links.union(linked(compared(met.select(*ordered("doc", "d")).distinct(), texts, words), percent)))
+            break
         links = cut(links.union(verified(met.select(*ordered("doc", "d")).distinct())))
         lists = open_.select("value", "doc", "n", "side")
-        if last:
-            break
     of = classes.select("same", F.col("doc").alias("rep"))
     # rows of one doc_id with different texts hold their classes together
     twice = filled.join(of, "same").groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("a", "b")
