@@ -120,24 +120,34 @@ def fastq(lines: Iterable[str], number: int | None) -> Iterator[tuple]:
         yield name, three[0], three[2], text or None, number
 
 
-def bam(read) -> Iterator[tuple]:
-    """Rows of an unpacked BAM stream; read(n) gives n bytes or fewer at its end."""
+def exactly(read, n: int) -> bytes:
+    data = read(n)
+    if len(data) != n:
+        raise EOFError("BAM file cut short")
+    return data
 
-    def exactly(n: int) -> bytes:
-        data = read(n)
-        if len(data) != n:
-            raise EOFError("BAM file cut short")
-        return data
 
-    if exactly(4) != b"BAM\1":
+def bam_contigs(read) -> list[str]:
+    """Names of the contigs, from the start of an unpacked BAM stream up to its first record."""
+    number = lambda: struct.unpack("<i", exactly(read, 4))[0]
+    if exactly(read, 4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    exactly(struct.unpack("<i", exactly(4))[0])
+    exactly(read, number())
     names = []
-    for _ in range(struct.unpack("<i", exactly(4))[0]):
-        names.append(exactly(struct.unpack("<i", exactly(4))[0])[:-1].decode())
-        exactly(4)
-    while size := read(4):
-        yield bam_record(exactly(struct.unpack("<i", size)[0]), names)
+    for _ in range(number()):
+        names.append(exactly(read, number())[:-1].decode())
+        exactly(read, 4)
+    return names
+
+
+def bam_records(read, names: list[str], more=lambda: True) -> Iterator[tuple]:
+    while more() and (size := read(4)):
+        yield bam_record(exactly(read, struct.unpack("<i", size)[0]), names)
+
+
+def bam(read) -> Iterator[tuple]:
+    """Rows of an unpacked BAM stream; read(n) gives n bytes or fewer at its end."""
+    yield from bam_records(read, bam_contigs(read))
 
 
 def bam_record(b: bytes, names: list[str]) -> tuple:

@@ -1,7 +1,9 @@
 """Spark data sources for BED, VCF, FASTA, FASTQ, SAM and BAM files.
 
-Plain line formats are split by bytes: a split owns the lines that start in it. gzip and BGZF files, FASTA and
-BAM are read by one task a file. All filters are left to Spark; `region` keeps records that overlap it.
+Plain line formats are split by bytes: a split owns the lines that start in it. gzip and BGZF files, FASTA without
+a FAI index and BAM are read by one task a file. All filters are left to Spark; `region` keeps records that overlap
+it, and reads only the index's chunks where a BAI or TBI index is found. FASTA with a FAI index has one row range
+of contigs a task.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from strandframe.functions import decode, schemas
+from strandframe.functions import decode, index, schemas
 from strandframe.operators.regions import Region
 
 ROWS = 8192
@@ -28,6 +30,8 @@ SPLIT = 128 << 20
 #: Suffixes by format.
 SUFFIXES = {"bed": (".bed", ".bed.gz", ".bed.bgz", ".bed.bgzf"), "vcf": (".vcf", ".vcf.gz", ".vcf.bgz", ".vcf.bgzf"), "fasta": (".fa", ".fasta", ".fna", ".fa.gz", ".fasta.gz"), "fastq": (".fq", ".fastq", ".fq.gz", ".fastq.gz", ".fastq.bgz"), "bam": (".bam", ".sam")}
 PACKED = (".gz", ".bgz", ".bgzf")
+#: Endings of indexes that are read, added to the file's name.
+INDEXES = {"bed": ".tbi", "vcf": ".tbi", "bam": ".bai", "fasta": ".fai"}
 SPLIT_OPTIONS = {"bed": "bedSplitSize", "vcf": "vcfSplitSize", "bam": "samSplitSize", "fastq": "minSplitBytes"}
 
 
@@ -36,6 +40,8 @@ class Span(InputPartition):
     path: str
     start: int
     end: int | None
+    contigs: tuple = ()
+    index: str | None = None
 
 
 def local(path: str) -> str:
@@ -87,18 +93,41 @@ def lines(span: Span) -> Iterator[str]:
             yield line.rstrip(b"\r\n").decode()
 
 
+def index_of(path: str, kind: str, options: dict, alone: bool) -> str | None:
+    """The file's index: indexPath (of one file only), then in indexDir, then beside the file."""
+    low, end = path.lower(), INDEXES.get(kind)
+    if options.get("useIndex", "true").lower() == "false" or not end:
+        return None
+    if low.endswith(".sam") or kind in ("bed", "vcf") and not low.endswith(PACKED) or kind == "fasta" and low.endswith(PACKED):
+        return None
+    tried = [local(options["indexPath"])] if alone and options.get("indexPath") else []
+    if options.get("indexDir"):
+        tried.append(os.path.join(local(options["indexDir"]), os.path.basename(path) + end))
+    tried += [path + end] + ([path[:-4] + end] if kind == "bam" and low.endswith(".bam") else [])
+    return next((x for x in tried if x.lower().endswith(end) and os.path.isfile(x)), None)
+
+
 class Reader(DataSourceReader):
     def __init__(self, kind: str, schema: StructType, options: dict):
         self.kind, self.schema, self.options = kind, schema, options
         self.region = Region.parse(options["region"]) if options.get("region") else None
         self.files = listed(options, kind)
-        positive(options, "numPartitions", 200)
+        self.groups = positive(options, "numPartitions", 200)
         self.size = positive(options, SPLIT_OPTIONS.get(kind, "splitSize"), SPLIT if kind != "fastq" else SPLIT // 2)
 
     def partitions(self) -> list[Span]:
         out = []
         for p in self.files:
             n, low = os.path.getsize(p), p.lower()
+            found = index_of(p, self.kind, self.options, len(self.files) == 1)
+            if found and self.kind == "fasta":
+                contigs = [c for c in index.fai(found) if not self.region or c[0] == self.region.contig]
+                each = -(-len(contigs) // self.groups) or 1
+                out += [Span(p, 0, None, tuple(contigs[i : i + each]), found) for i in range(0, len(contigs), each)]
+                continue
+            if found:
+                out.append(Span(p, 0, None, (), found))
+                continue
             if low.endswith((*PACKED, ".bam")) or self.kind in ("fasta", "fastq"):
                 out.append(Span(p, 0, None))
             else:
@@ -106,17 +135,52 @@ class Reader(DataSourceReader):
                 out += [Span(p, s, s + self.size if s != starts[-1] else None) for s in starts]
         return out or [Span("", 0, 0)]
 
+    def indexed(self, span: Span) -> Iterator[tuple]:
+        """Rows of the chunks that the index names for the region."""
+        r = self.region
+        if self.kind == "bam":
+            with gzip.open(span.path) as f:
+                names = decode.bam_contigs(f.read)
+            contigs = dict(zip(names, index.bai(span.index), strict=False))
+        else:
+            contigs = index.tbi(span.index)
+        if r.contig not in contigs:
+            return
+        names = names if self.kind == "bam" else self.samples(span.path)
+        with open(span.path, "rb") as f:
+            for begin, stop in contigs[r.contig].chunks(r.start, r.end):
+                blocks = index.Blocks(f, begin)
+                if self.kind == "bam":
+                    yield from decode.bam_records(blocks.read, names, lambda blocks=blocks, stop=stop: blocks.tell() < stop)
+                else:
+                    parse = decode.bed if self.kind == "bed" else lambda x: decode.vcf(x, names)
+                    yield from (row for x in blocks.lines(stop) if (row := parse(x)))
+
+    def samples(self, path: str) -> list[str]:
+        """Names of the samples of a VCF file."""
+        if self.kind == "vcf":
+            for x in lines(Span(path, 0, None)):
+                if x.lower().startswith("#chrom"):
+                    return decode.samples_of(x)
+                if not x.startswith("#"):
+                    break
+        return []
+
     def rows(self, span: Span) -> Iterator[tuple]:
         kind, low = self.kind, span.path.lower()
+        if span.contigs:
+            with open(span.path, "rb") as f:
+                for name, bases, offset, size in span.contigs:
+                    f.seek(offset)
+                    yield name, b"".join(f.read(size).split()).decode(), bases
+            return
+        if span.index and self.region:
+            yield from self.indexed(span)
+            return
         if kind == "bed":
             yield from (r for x in lines(span) if (r := decode.bed(x)))
         elif kind == "vcf":
-            names: list[str] = []
-            for x in lines(Span(span.path, 0, None)):
-                if not x.startswith("#"):
-                    break
-                if x.lower().startswith("#chrom"):
-                    names = decode.samples_of(x)
+            names = self.samples(span.path)
             yield from (r for x in lines(span) if (r := decode.vcf(x, names)))
         elif kind == "fasta":
             yield from decode.fasta(lines(span))
@@ -145,7 +209,7 @@ class Reader(DataSourceReader):
         extra: tuple = ()
         if "_metadata" in self.schema.names:
             st = os.stat(span.path)
-            extra = ({"file_path": span.path, "file_name": os.path.basename(span.path), "file_size": st.st_size, "file_modification_time": datetime.datetime.fromtimestamp(st.st_mtime, datetime.UTC), "index_path": None},)
+            extra = ({"file_path": span.path, "file_name": os.path.basename(span.path), "file_size": st.st_size, "file_modification_time": datetime.datetime.fromtimestamp(st.st_mtime, datetime.UTC), "index_path": span.index},)
         whole = schema_of(self.kind, self.options, pruned=False)
         at = [whole.names.index(n) for n in self.schema.names]
         held: list[tuple] = []
