@@ -168,6 +168,20 @@ def test_ann_recall_and_odd_vectors(spark):
     assert hits >= 0.9 * 100
 
 
+def test_ann_is_exact_on_many_rows(spark):
+    x = np.random.default_rng(3).normal(size=(20_000, 64))
+    x[7000:7300] = x[50]  # copies, more than are reranked
+    v = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): r.vec_id for r in additive_ann.nearest(v, v.filter("vec_id % 50 = 0")).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {}
+    for q in range(0, 20_000, 50):
+        s = np.round(u @ u[q], 12)
+        s[q] = -2
+        want |= {(q, n + 1): int(j) for n, j in enumerate(np.argsort(-s, kind="stable")[:5])}
+    assert got == want
+
+
 def test_quality_ranks_held_out(spark):
     r = random.Random(2)
     rows = [(i, " ".join(("WORD!!" if i % 4 == 0 else "word") + str(r.randint(0, 9)) for _ in range(50))) for i in range(300)] + [(300, None), (301, "")]
