@@ -8,7 +8,8 @@ with its text and a key that a third of the corpus holds costs one row per chunk
 
 1. q-grams that one chunk alone has are settled: nothing under them repeats.
 2. Segments under the others are compared whole; an earlier equal segment settles all its windows.
-3. Where a q-gram has several segments, the first of each sends its windows one by one.
+3. Where a q-gram has several segments, the first of each sends its windows one by one; where documents do not
+   repeat themselves, further copies in the first document take the answers of these.
 
 Keys of rounds 2 and 3 have 128 bits. Memory: one chunk, or one bucket of about a million keys.
 """
@@ -426,8 +427,16 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
         doc = np.concatenate([np.repeat(s.doc[rest], s.size[rest]), w_doc])
         pos = np.concatenate([spread(s.start[rest], s.size[rest]), w_pos])
         windows = answers(by[3])
-        src = np.concatenate([np.repeat(src, s.size[rest]), windows.doc[c]])
-        at = np.concatenate([np.repeat(at, s.size[rest]) + step, windows.pos[c]])
+        src, at = np.repeat(src, s.size[rest]), np.repeat(at, s.size[rest]) + step
+        if not kind.within:
+            # a segment that its first document holds again: the windows as where it sent them
+            sent = np.full(len(first), -1)
+            sent[of[own]] = np.cumsum(s.size[own]) - s.size[own]
+            like = (sent[of[rest]] >= 0) & (said.doc[of[rest]] == chunk.docs[s.doc[rest]])
+            where, these = c[spread(sent[of[rest]][like], s.size[rest][like])], np.repeat(like, s.size[rest])
+            src[these], at[these] = windows.doc[where], windows.pos[where]
+        src = np.concatenate([src, windows.doc[c]])
+        at = np.concatenate([at, windows.pos[c]])
         order = np.lexsort((pos, doc))
         doc, pos, src, at = doc[order], pos[order], src[order], at[order]
         mine = chunk.docs[doc]

@@ -57,6 +57,19 @@ def test_repeated_bytes(docs):
     assert got == want
 
 
+def test_bytes_that_a_document_repeats_and_an_earlier_one_holds(spark):
+    r = random.Random(8)
+    make = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    rows = []
+    for i in range(60):
+        p, y = make(r.randint(51, 200)), make(r.randint(10, 150))
+        cut = r.randint(0, len(p) - 51)
+        rows += [(2 * i, p[cut:] + make(90)), (2 * i + 1, p + y + p + y)]
+    want = brute(rows, lambda t: t.encode(), 50, False)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, list(x.kept)) for x in suffix_dedup.remove_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_repeated_words_and_factors(docs):
     rows = suffix = relative_lz.remove_repeated_words(docs).collect()
     want = brute(list(enumerate(texts())), lambda t: (t or "").encode().split(), 20, True)
