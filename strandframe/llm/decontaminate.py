@@ -1,7 +1,8 @@
 """Benchmark passages in documents, by SimHash over item-sized windows; DataFrame and SQL functions only.
 
-Windows of an item's length that hold one of its shingles where the item has it are fingerprinted, as the
-items are. Fingerprints are cut into one block more than the radius, so that any two within the radius agree
+Windows of an item's length are fingerprinted, as the items are, that hold one of its shingles where the item
+has it, or that start between two such. All others hold no more of the item than the nearest of these: what is
+shared in a window lies, moved, also in the window at the least or the greatest offset of what it shares. Fingerprints are cut into one block more than the radius, so that any two within the radius agree
 on a block (multi-index hashing); pairs that do are held against the radius, and then against the exact
 weighted similarity of their shingles, the sum of lesser counts over the sum of greater ones.
 """
@@ -78,7 +79,16 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFr
         found = hit if found is None else found.union(hit)
     if found is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, start int, similarity double")
-    windows = found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "m")).alias("at"))
+    aligned = found.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("m", "start"))).alias("at"))
+
+    def filled(x, i):
+        after = F.get("at", i + 1)
+        # starts further apart have no window between them that holds shingles aligned to both
+        close = (after["m"] == x["m"]) & (after["start"] - x["start"] <= 2 * (x["m"] - SHINGLE))
+        last = F.when(close, after["start"] - 1).otherwise(x["start"])
+        return F.transform(F.sequence(x["start"], last), lambda s: F.struct(s.alias("start"), x["m"].alias("m")))
+
+    windows = aligned.select("doc_id", F.flatten(F.transform("at", filled)).alias("at"))
     own = text.alias("t").join(windows.alias("x"), F.col("t.doc_id").eqNullSafe(F.col("x.doc_id"))).select("t.doc_id", "w", F.explode("at").alias("at"))
     cut_out = F.slice("w", F.col("at.start") + 1, F.col("at.m"))
     window = own.filter(F.col("at.start") < F.size("w")).select("doc_id", "at.start", "at.m", cut_out.alias("v")).withColumn("fp", fingerprint(F.col("v"))).select("doc_id", "start", "m", "fp", shingles(F.col("v")).alias("sv"))

@@ -152,6 +152,22 @@ def test_decontamination(spark):
     assert next(x for x in got if x.doc_id == 1).similarity == pytest.approx(25 / 27)
 
 
+def test_decontamination_between_offsets(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijklm") for _ in range(6))
+    items = [[word() for _ in range(n)] for n in range(46, 53)]
+    docs = [["x", "y", *[word()], *t[1 : len(t) // 2], word(), word(), *t[len(t) // 2 : -1], word(), "z", "z"] for t in items]
+    count = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    want = {}
+    for i, (d, t) in enumerate(zip(docs, items, strict=True)):
+        of = lambda s: (a := count(d[s : s + len(t)]) & count(t)).total() / (2 * (len(t) - 4) - a.total())  # noqa: B023, E731
+        want[i] = max(of(s) for s in range(len(d) - len(t) + 1))
+    assert min(want.values()) >= 0.75
+    frame = lambda rows, key: spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], f"{key} long, text string")
+    got = {x.doc_id: x.similarity for x in decontaminate.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_mixture_meets_margins(docs):
     rows = mixing.mixed(docs, share=0.5).collect()
     assert len(rows) == len(texts())
