@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,8 +26,8 @@ DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++){3,}+")
 DIGITS = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Words that may be identifiers: with a digit or an at sign.
-LIKE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+#: What may be an identifier: a word with a digit or an at sign, and after it words of digits and their punctuation.
+LIKE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*(?:\x20[().+-]*[0-9][().0-9-]*(?![^\x20\x09-\x0D.,;:!?)\]}\"']))*")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ROUNDS, LEAST_SCORE, LEAST_SEEDS = 3, 0.6, 3.0
 
@@ -76,29 +77,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def shape(word: str) -> str:
-    """The word's kinds of characters in turn, runs as one."""
-    return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "0", word)))[:24]
-
-
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, str | None]]:
-    """(start, end, pattern, instance, kind of the seed or null) of base spans and of identifier-like words outside them."""
+    """(start, end, pattern, instance, kind of the seed or null) of base spans and of what is like an identifier outside them; a pattern is the two words before."""
     out = []
     at = 0
     found = [(s, e, KINDS[k]) for s, e, k in base]
     for m in LIKE.finditer(text):
         while at < len(base) and base[at][1] <= m.start():
             at += 1
-        if m.end() - m.start() >= 6 and not any(s < m.end() and m.start() < e for s, e, _ in base[at : at + 8]):
-            s, e = m.span()
+        near = list(takewhile(lambda x: x[0] < m.end(), (base[j] for j in range(at, len(base)))))  # noqa: B023
+        free = lambda s, e: not any(x < e and s < y for x, y, _ in near)  # noqa: B023, E731
+        # where several words run into a base span, those outside it count one by one
+        for s, e in [m.span()] if free(*m.span()) else [w.span() for w in WORD.finditer(text, *m.span()) if free(*w.span())]:
             while e > s and text[e - 1] in ".,;:!?)]}\"'":
                 e -= 1
-            if e - s >= 6:
+            if e > s:
                 found.append((s, e, None))
     for s, e, kind in found:
         before = WORD.findall(text[max(0, s - 64) : s])[-2:]
         value = text[s:e]
-        out.append((s, e, " ".join(before).lower()[-48:] + " " + shape(value), hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).hexdigest(), kind))
+        out.append((s, e, " ".join(before).lower()[-48:], hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).hexdigest(), kind))
     return out
 
 

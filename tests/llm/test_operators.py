@@ -127,6 +127,13 @@ def test_context_finds_unseen_identifiers(spark):
     assert len(got) == 11 and got[10] == []
 
 
+def test_context_finds_other_shapes(spark):
+    rows = [(i, f"filler write to me: u{i}@mail.org now") for i in range(9)] + [(9, "filler write to me: u9@mail now")]
+    rows += [(20 + i, f"please call at +1 203 555 01{i}{i} today") for i in range(9)] + [(29, "please call at 203 555 0199 today"), (30, "we saw 203 555 0199 birds")]
+    got = {r.doc_id: [(rows[n][1][x.start : x.end], x.kind) for x in r.found] for r in pii.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect() for n in [[d for d, _ in rows].index(r.doc_id)]}
+    assert {d: x for d, x in got.items() if x} == {9: [("u9@mail", "email")], 29: [("203 555 0199", "phone")]}
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>é" + "x" * 2000
     rows = [(1, "http://a.b/c", big, "q"), (2, None, big, "q"), (3, "https://d.e", "small", "q"), (4, "http://f", None, "q"), (5, "http://g/h i", "small\r\n\r\nWARC/1.1\r\n", "q")]
