@@ -6,6 +6,7 @@ import gc
 import tempfile
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,15 +15,19 @@ LOWEST = -(2**63)
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 _rng = np.random.Generator(np.random.PCG64(20240229))
-#: Random 64-bit values for a byte at a place of a word.
-PLACE = _rng.integers(1, 2**63, (64, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Words up to this many bytes are hashed together.
+SHORT_WORD = 64
+#: Two independent random 64-bit values for a byte at a place of a word.
+PLACE = _rng.integers(0, 2**64, (2, SHORT_WORD * 256), dtype=np.uint64, endpoint=False)
 ODD = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; a temporary one only where a local session names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoints-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
@@ -82,17 +87,20 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; the two lanes are independent."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     sizes = ends - starts
-    first = np.cumsum(sizes) - sizes
-    place = np.arange(sizes.sum()) - np.repeat(first, sizes)
-    values = PLACE[place & 63, data[np.repeat(starts, sizes) + place]]
-    if (far := place >= 64).any():
-        values[far] *= (2 * (place[far] >> 6) + 1).astype(np.uint64)
-    return mix(np.add.reduceat(values, first) + sizes.astype(np.uint64) * ODD[0])
+    held = np.minimum(sizes, SHORT_WORD)
+    first = np.cumsum(held) - held
+    place = np.arange(held.sum()) - np.repeat(first, held)
+    values = PLACE[lane].take(place * 256 + data[np.repeat(starts, held) + place])
+    out = mix(np.add.reduceat(values, first) + sizes.astype(np.uint64) * ODD[lane])
+    for i in np.flatnonzero(sizes > SHORT_WORD).tolist():
+        digest = xxhash.xxh3_128_digest(data[starts[i] : ends[i]].tobytes())
+        out[i] = int.from_bytes(digest[8 * lane : 8 * lane + 8], "little")
+    return out
 
 
 def windows_hash(symbols: np.ndarray, size: int) -> np.ndarray:

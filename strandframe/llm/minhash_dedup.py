@@ -14,9 +14,10 @@ become one component, and only pairs of different components remain for the next
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,18 +38,28 @@ def overlap(n, k: int, percent: int):
     return F.greatest(F.least(F.ceil(n * percent / 100), F.floor(k * share - DEVIATIONS * spread)), F.lit(1)).cast("int")
 
 
+def normal(text: bytes) -> bytes:
+    """A-Z as lower case, words joined by one space."""
+    return b" ".join(text.lower().split())
+
+
+def digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
+
+
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc, n, same, sketch): the number of shingles, a 128-bit digest of their set, the K least hashes, of sets of up to SHORT the K_SHORT least."""
+    """(doc, n, key, sketch): the number of shingles, a 128-bit digest of the words, the K least hashes, of sets of up to SHORT the K_SHORT least."""
 
     def make(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                sets = many_shingles(part.column(1).to_pylist(), words)
-                yield pa.record_batch([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([x[: K if len(x) > SHORT else K_SHORT] for x in sets], pa.list_(pa.int64()))], names=["doc", "n", "same", "sketch"])
+                texts = [normal(x) for x in part.column(1).to_pylist()]
+                sets = many_shingles(texts, words)
+                yield pa.record_batch([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([digest(x) for x in texts], pa.binary()), pa.array([x[: K if len(x) > SHORT else K_SHORT] for x in sets], pa.list_(pa.int64()))], names=["doc", "n", "key", "sketch"])
 
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), text_column(docs).alias("text"))
-    return own.mapInArrow(make, "doc long, n long, same binary, sketch array<long>")
+    return own.mapInArrow(make, "doc long, n long, key binary, sketch array<long>")
 
 
 def estimate(a, b, k):
@@ -63,17 +74,43 @@ def needed(n, percent: int):
 
 
 def listed(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, doc, n): the inverted lists, without values that only one class has."""
-    rows = classes.select("doc", "n", F.explode("sketch").alias("value"))
+    """(value, key, n): the inverted lists, without values that only one class has."""
+    rows = classes.select("key", "n", F.explode("sketch").alias("value"))
     often = rows.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     need = needed(F.col("n"), percent)
-    own = rows.join(often, "value").groupBy("doc", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("values"))
+    own = rows.join(often, "value").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("values"))
     # the values that no other class has come before all these
-    return own.withColumn("most", (F.size("values") - need + 1).cast("int")).filter("most > 0").select("doc", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "doc", "n")
+    return own.withColumn("most", (F.size("values") - need + 1).cast("int")).filter("most > 0").select("key", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "key", "n")
+
+
+def set_sizes(a: list[bytes], b: list[bytes], words: int) -> tuple[int, int, int]:
+    """How many distinct shingles two texts have, and how many both; without hashes, so that unlike shingles are never one."""
+    number: dict[bytes, int] = {}
+    one = [np.array([number.setdefault(w, len(number)) for w in x], np.int64) for x in (a, b)]
+    if min(len(a), len(b)) < words:
+        # a text of fewer words is one shingle, and like no shingle of another length
+        sizes = [len(np.unique(np.lib.stride_tricks.sliding_window_view(x, min(words, len(x))), axis=0)) for x in one]
+        return sizes[0], sizes[1], int(len(a) == len(b) and a == b)
+    size = np.array([len(x) for x in one])
+    ranks = np.concatenate(one)
+    valid = np.ones(len(ranks), bool)
+    length = 1
+    while length < words:
+        # ranks of runs of `length` words become ranks of longer ones; those that leave a text are dropped at the end
+        step = min(length, words - length)
+        ahead = np.append(ranks[step:], np.zeros(step, np.int64))
+        ranks = np.unique(ranks * (ranks.max() + 1) + ahead, return_inverse=True)[1]
+        length += step
+    ends = np.cumsum(size)
+    for e in ends.tolist():
+        valid[max(e - words + 1, 0) : e] = False
+    own = np.arange(len(ranks)) < ends[0]
+    x, y = np.unique(ranks[valid & own]), np.unique(ranks[valid & ~own])
+    return len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))
 
 
 def compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(a, b, na, nb, both) of pairs: the sizes of their whole sets and of the intersection; texts: (doc, z)."""
+    """(a, b, na, nb, both) of pairs: the sizes of their whole sets and of the intersection, by the words themselves; texts: (key, z)."""
 
     def check(batches):
         un = zstandard.ZstdDecompressor()
@@ -83,15 +120,14 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             sizes = []
             for i in range(len(a)):
                 if last[0] != b[i]:
-                    last = (b[i], many_shingles([un.decompress(zb[i])], words)[0])
-                x, y = many_shingles([un.decompress(za[i])], words)[0], last[1]
-                sizes.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+                    last = (b[i], un.decompress(zb[i]).split())
+                sizes.append(set_sizes(un.decompress(za[i]).split(), last[1], words))
             columns = np.array(sizes, np.int64).reshape(-1, 3).T
             yield pa.record_batch([batch.column(0), batch.column(1), *map(pa.array, columns)], names=["a", "b", "na", "nb", "both"])
 
-    with_a = pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
-    both = with_a.join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b")
-    return both.select("a", "b", "za", "zb").mapInArrow(check, "a long, b long, na long, nb long, both long")
+    with_a = pairs.join(texts.select(F.col("key").alias("a"), F.col("z").alias("za")), "a")
+    both = with_a.join(texts.select(F.col("key").alias("b"), F.col("z").alias("zb")), "b")
+    return both.select("a", "b", "za", "zb").mapInArrow(check, "a binary, b binary, na long, nb long, both long")
 
 
 def linked(sizes: DataFrame, percent: int) -> DataFrame:
@@ -99,29 +135,30 @@ def linked(sizes: DataFrame, percent: int) -> DataFrame:
 
 
 def leaders(lists: DataFrame, centre: DataFrame) -> DataFrame:
-    """(doc, n, leader): of the centres of a class's lists, of those it meets a quarter as often as any, that of most list rows."""
-    met = lists.join(centre.select("value", F.col("d").alias("leader")), "value").groupBy("doc", "n", "leader").agg(F.count(F.lit(1)).alias("times"))
-    fame = met.groupBy("leader").agg(F.sum("times").alias("fame"))
-    own = met.join(fame, "leader").groupBy("doc", "n").agg(F.collect_list(F.struct("fame", (-F.col("leader")).alias("minus"), "leader", "times")).alias("x"), F.max("times").alias("most"))
-    return own.select("doc", "n", F.array_max(F.filter("x", lambda y: y["times"] * 4 >= F.col("most")))["leader"].alias("leader"))
+    """(key, n, leader): of the centres of a class's lists, of those it meets a quarter as often as any, that of most list rows."""
+    met = cut(lists.join(centre.select("value", F.col("d").alias("leader")), "value").groupBy("key", "n", "leader").agg(F.count(F.lit(1)).alias("times")))
+    # both sides of the join come from checkpoints, so that a leader with many rows can be split
+    fame = cut(met.groupBy("leader").agg(F.sum("times").alias("fame")))
+    own = met.join(fame, "leader").groupBy("key", "n").agg(F.collect_list(F.struct("fame", "leader", "times")).alias("x"), F.max("times").alias("most"))
+    return own.select("key", "n", F.array_max(F.filter("x", lambda y: y["times"] * 4 >= F.col("most")))["leader"].alias("leader"))
 
 
 def inside(led: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of one leader that may be linked by what they share with it alone; led: (doc, n, leader, i, component, of).
+    """(a, b) of one leader that may be linked by what they share with it alone; led: (key, n, leader, i, component, of).
 
     i is the intersection with the leader; sets of n and m that are linked share (n + m) * percent / (100 + percent)
     at least, so m <= i * (100 + percent) / percent - n. Classes that hang with the leader already need no pairing.
     """
     most = F.floor(F.col("i") * (100 + percent) / percent) - F.col("n")
     ask = led.filter("component != of").withColumn("from", F.ceil(F.col("n") * percent / 100)).withColumn("to", F.least(F.floor(F.col("n") * 100 / percent), most)).filter("`from` <= to")
-    ask = ask.select("leader", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.explode(F.sequence("from", "to")).alias("nb"))
-    other = led.select("leader", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), most.alias("room"))
+    ask = ask.select("leader", F.col("key").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.explode(F.sequence("from", "to")).alias("nb"))
+    other = led.select("leader", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), most.alias("room"))
     met = ask.join(other, ["leader", "nb"]).filter((F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("room")))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def outside(led: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """(value, doc, n): lists of what classes of one leader share beside it, whole sets, for leaders with classes that do not hang with them."""
+    """(value, key, n): lists of what classes of one leader share beside it, whole sets, for leaders with classes that do not hang with them."""
 
     def rest(batches):
         un = zstandard.ZstdDecompressor()
@@ -133,18 +170,18 @@ def outside(led: DataFrame, texts: DataFrame, percent: int, words: int) -> DataF
                 if last[0] != leader[i]:
                     last = (leader[i], many_shingles([un.decompress(zl[i])], words)[0])
                 out.append(np.setdiff1d(many_shingles([un.decompress(zd[i])], words)[0], last[1], assume_unique=True))
-            yield pa.record_batch([*(batch.column(i) for i in range(4)), pa.array(out, pa.list_(pa.int64()))], names=["doc", "n", "leader", "i", "rest"])
+            yield pa.record_batch([*(batch.column(i) for i in range(4)), pa.array(out, pa.list_(pa.int64()))], names=["key", "n", "leader", "i", "rest"])
 
     open_ = led.filter("component != of").select("leader").distinct()
-    rows = led.join(open_, "leader", "left_semi").filter("n > i").select("doc", "n", "leader", "i")
-    rows = rows.join(texts.select("doc", F.col("z").alias("zd")), "doc").join(texts.select(F.col("doc").alias("leader"), F.col("z").alias("zl")), "leader")
-    made = rows.select("doc", "n", "leader", "i", "zd", "zl").mapInArrow(rest, "doc long, n long, leader long, i long, rest array<long>")
-    each = cut(made.select("doc", "n", "i", F.explode("rest").alias("u"), "leader").select("doc", "n", "i", F.xxhash64("leader", "u").alias("value")))
+    rows = led.join(open_, "leader", "left_semi").filter("n > i").select("key", "n", "leader", "i")
+    rows = rows.join(texts.select("key", F.col("z").alias("zd")), "key").join(texts.select(F.col("key").alias("leader"), F.col("z").alias("zl")), "leader")
+    made = rows.select("key", "n", "leader", "i", "zd", "zl").mapInArrow(rest, "key binary, n long, leader binary, i long, rest array<long>")
+    each = cut(made.select("key", "n", "i", F.explode("rest").alias("u"), "leader").select("key", "n", "i", F.xxhash64("leader", "u").alias("value")))
     often = each.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    own = each.join(often, "value").groupBy("doc", "n", "i").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("values"))
+    own = each.join(often, "value").groupBy("key", "n", "i").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("values"))
     need = F.greatest(F.ceil(F.col("n") * percent / 100) - F.col("i"), F.lit(1))
     most = (F.size("values") - need + 1).cast("int")
-    return own.withColumn("most", most).filter("most > 0").select("doc", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "doc", "n")
+    return own.withColumn("most", most).filter("most > 0").select("key", "n", F.explode(F.slice("values", F.lit(1), F.col("most"))).alias("v")).select("v.value", "key", "n")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
@@ -153,24 +190,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     Two documents are linked when 100 * intersection >= percent * union of their sets of shingles of `words`
     words, A-Z as lower case; with fewer words, the whole sequence is the one shingle. component_id: the least
     doc_id reachable by links. Null or empty texts have no set and link with nothing. Null doc_id: less than
-    any other, and null in the result. Rows with one doc_id and the same set give one row each, with different
-    sets the same component. Other columns are ignored; an empty table gives an empty result.
+    any other, and null in the result; it doesn't hold rows together. Repeated rows give a row each; rows of one
+    other doc_id with different texts hold their components together. Links are confirmed on the words of whole
+    texts, however long. Other columns are ignored; an empty table gives an empty result.
     """
     made = cut(sketches(docs, words))
     filled = made.filter("n > 0")
-    classes = cut(filled.groupBy("same").agg(F.min(F.struct("doc", "n", "sketch")).alias("x")).select("same", "x.*").withColumnRenamed("doc", "rep")).withColumnRenamed("rep", "doc")
+    # a class is a sequence of words: its key, sketch and text are those of no other
+    classes = cut(filled.groupBy("key").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     lists = dealt(listed(classes, percent), "value")
     several = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("value")
-    active = lists.join(several, "value").select("doc").distinct()
+    active = lists.join(several, "value").select("key").distinct()
 
     def squeeze(batches):
         c = zstandard.ZstdCompressor(3)
         for b in batches:
-            yield pa.record_batch([b.column(0), pa.array([c.compress(x) for x in b.column(1).to_pylist()], pa.binary())], names=["doc", "z"])
+            texts = [normal(x) for x in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array([digest(x) for x in texts], pa.binary()), pa.array([c.compress(x) for x in texts], pa.binary())], names=["key", "z"])
 
-    small = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), text_column(docs).alias("text")).mapInArrow(squeeze, "doc long, z binary")
-    texts = dealt(small.join(active, "doc", "left_semi").dropDuplicates(["doc"]), "doc")
-    shape = classes.select("doc", "n", "sketch")
+    small = docs.select(text_column(docs).alias("text")).mapInArrow(squeeze, "key binary, z binary")
+    texts = dealt(small.join(active, "key", "left_semi").dropDuplicates(["key"]), "key")
+    shape = classes.select("key", "n", "sketch")
 
     def alike(sa: str, sb: str, na: str, nb: str):
         k = F.when(F.greatest(na, nb) > SHORT, K).otherwise(K_SHORT)
@@ -178,8 +218,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
 
     def likely(pairs: DataFrame) -> DataFrame:
         """Of distinct (a, b), a < b, those that the estimate allows."""
-        with_a = pairs.join(shape.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-        both = with_a.join(shape.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+        with_a = pairs.join(shape.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
+        both = with_a.join(shape.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
         return both.filter(alike("sa", "sb", "na", "nb")).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -192,23 +232,23 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
     def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-        """rows with the component of their doc."""
-        return rows.join(components(links).withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        """rows with the component of their key."""
+        return rows.join(components(links).withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
 
     # each class with the least of each of its lists, and with its leader whatever the estimate
-    centre = cut(lists.groupBy("value").agg(F.min(F.struct("doc", "n")).alias("x"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("value", F.col("x.doc").alias("d"), F.col("x.n").alias("m")))
+    centre = cut(lists.groupBy("value").agg(F.min(F.struct("key", "n")).alias("x"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("value", F.col("x.key").alias("d"), F.col("x.n").alias("m")))
     lead = cut(leaders(lists, centre))
-    first = lists.join(centre, "value").filter((F.col("doc") != F.col("d")) & close("n", "m")).select(*ordered("doc", "d")).distinct()
-    follow = lead.filter("doc != leader").select(*ordered("doc", "leader"))
+    first = lists.join(centre, "value").filter((F.col("key") != F.col("d")) & close("n", "m")).select(*ordered("key", "d")).distinct()
+    follow = lead.filter("key != leader").select(*ordered("key", "leader"))
     sizes = cut(compared(likely(first).union(follow).distinct(), texts, words))
     links = cut(linked(sizes, percent))
-    shared = lead.select("doc", "n", "leader", *ordered("doc", "leader")).join(sizes.select("a", "b", "both"), ["a", "b"], "left")
-    led = labelled(shared.select("doc", "n", "leader", F.coalesce("both", "n").alias("i")), links)
-    led = cut(led.join(led.filter("doc = leader").select("leader", F.col("component").alias("own")), "leader", "left").withColumn("of", F.coalesce("own", "leader")).drop("own"))
+    shared = lead.select("key", "n", "leader", *ordered("key", "leader")).join(sizes.select("a", "b", "both"), ["a", "b"], "left")
+    led = labelled(shared.select("key", "n", "leader", F.coalesce("both", "n").alias("i")), links)
+    led = cut(led.join(led.filter("key = leader").select("leader", F.col("component").alias("own")), "leader", "left").withColumn("of", F.coalesce("own", "leader")).drop("own"))
     # those of one leader: by what they share with it, by lists of what they share beside it; of several: by the lists
     links = cut(links.union(verified(inside(led, percent))))
-    beside = outside(led, texts, percent, words).select("value", "doc", "n", F.col("doc").alias("side"))
-    across = lists.join(lead.select("doc", "leader"), "doc").select("value", "doc", "n", F.col("leader").alias("side"))
+    beside = outside(led, texts, percent, words).select("value", "key", "n", F.col("key").alias("side"))
+    across = lists.join(lead.select("key", "leader"), "key").select("value", "key", "n", F.col("leader").alias("side"))
     lists = cut(across.union(beside))
     for nth in range(ROUNDS + 1):
         state = labelled(lists, links)
@@ -225,27 +265,31 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         last = nth == ROUNDS or left["pairs"] <= 2 * left["rows"]
         if last:
             # each pair once, in the first list that both are in, and only if the estimate allows it
-            held = open_.groupBy("doc", "side").agg(F.collect_list("value").alias("values"))
-            open_ = open_.join(held, ["doc", "side"]).join(shape.select("doc", "sketch"), "doc")
+            held = open_.groupBy("key", "side").agg(F.collect_list("value").alias("values"))
+            open_ = open_.join(held, ["key", "side"]).join(shape.select("key", "sketch"), "key")
         more = ["values", "sketch"] if last else []
-        names = {"doc": "d", "n": "nd", "component": "o", "side": "p", "values": "values_d", "sketch": "sketch_d"}
-        other = open_.select("value", *(F.col(c).alias(names[c]) for c in ["doc", "n", "component", "side", *more]))
+        names = {"key": "d", "n": "nd", "component": "o", "side": "p", "values": "values_d", "sketch": "sketch_d"}
+        other = open_.select("value", *(F.col(c).alias(names[c]) for c in ["key", "n", "component", "side", *more]))
         if not last:
             other = other.groupBy("value").agg(F.min(F.struct(F.xxhash64("o", F.lit(nth)), "d", "nd", "o", "p")).alias("x")).select("value", "x.d", "x.nd", "x.o", "x.p")
         met = open_.join(other, "value").filter((F.col("component") != F.col("o")) & (F.col("side") != F.col("p")) & close("n", "nd"))
         if last:
-            met = met.filter((F.col("doc") < F.col("d")) & (F.array_min(F.array_intersect("values", "values_d")) == F.col("value")) & alike("sketch", "sketch_d", "n", "nd"))
-            links = cut(links.union(linked(compared(met.select(*ordered("doc", "d")).distinct(), texts, words), percent)))
+            met = met.filter((F.col("key") < F.col("d")) & (F.array_min(F.array_intersect("values", "values_d")) == F.col("value")) & alike("sketch", "sketch_d", "n", "nd"))
+            links = cut(links.union(linked(compared(met.select(*ordered("key", "d")).distinct(), texts, words), percent)))
             break
-        links = cut(links.union(verified(met.select(*ordered("doc", "d")).distinct())))
-        lists = open_.select("value", "doc", "n", "side")
-    of = classes.select("same", F.col("doc").alias("rep"))
+        links = cut(links.union(verified(met.select(*ordered("key", "d")).distinct())))
+        lists = open_.select("value", "key", "n", "side")
     # rows of one doc_id with different texts hold their classes together
-    twice = filled.join(of, "same").groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("a", "b")
-    edges = links.union(twice)
+    mixed = filled.filter(F.col("doc") != LOWEST).groupBy("doc").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a != z").select("doc", "a")
+    twice = filled.select("doc", F.col("key").alias("b")).join(mixed, "doc").filter("a != b").select("a", "b").distinct()
+    edges = cut(links.union(twice))
+    of = classes.select("key", "rep")
     if not edges.isEmpty():
-        of = of.join(components(edges).withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("component", "rep").alias("rep"))
-    out = made.join(of, "same", "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("component"))
+        held = of.join(components(edges).withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        held = cut(held)
+        least = cut(held.groupBy("component").agg(F.min("rep").alias("rep")))
+        of = cut(held.select("key", "component").join(least, "component").select("key", "rep"))
+    out = made.select("doc", "n", "key").join(of, "key", "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("component"))
     null = lambda c: F.when(F.col(c) != LOWEST, F.col(c))
     return out.select(null("doc").alias("doc_id"), F.col("n").alias("n_shingles"), null("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept"))
 

@@ -74,7 +74,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         for i in range(0, len(parts) - 3, 4):
             if all(len(x := p[0].lstrip("0")) <= 3 and int(x or 0) <= 255 for p in parts[i : i + 4]):
                 out.append((parts[i].start(), parts[i + 3].end(), 1))
-    return sorted(out)
+    return sorted(out, key=lambda x: (x[0], x[2], x[1]))
+
+
+def words_before(text: str, at: int, n: int = 2) -> str:
+    """The n words before a place, in lower case; a digest of them if they are long."""
+    size = 64
+    while True:
+        begin = max(0, at - size)
+        found = WORD.findall(text, begin, at)
+        if begin == 0 or len(found) > n:
+            break
+        size *= 4
+    out = " ".join(found[-n:]).lower()
+    return out if len(out) <= 64 else hashlib.blake2b(out.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, str | None]]:
@@ -94,9 +107,8 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             if e > s:
                 found.append((s, e, None))
     for s, e, kind in found:
-        before = WORD.findall(text[max(0, s - 64) : s])[-2:]
         value = text[s:e]
-        out.append((s, e, " ".join(before).lower()[-48:], hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).hexdigest(), kind))
+        out.append((s, e, words_before(text, s), hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).hexdigest(), kind))
     return out
 
 

@@ -51,8 +51,8 @@ def symbols_of(text: bytes, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit values for each symbol."""
     data = np.frombuffer(text, np.uint8)
     if kind.words:
-        own = word_hashes(data, *word_bounds(data))
-        return own, own * ODD[40] ^ (own >> np.uint64(29))
+        bounds = word_bounds(data)
+        return word_hashes(data, *bounds), word_hashes(data, *bounds, lane=1)
     return BYTE[0][data], BYTE[1][data]
 
 
@@ -286,7 +286,7 @@ def asked(chunk: int, keys: list[np.ndarray], docs: np.ndarray | None, pos: np.n
     lead = (keys[0] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys[0]), np.int64)
     at = np.flatnonzero(np.diff(lead, prepend=-1)) if len(lead) else np.zeros(0, np.int64)
     rows: dict[str, list] = {"bucket": [], "chunk": [], "keys": [], "docs": [], "pos": []}
-    for i, j in zip(at.tolist(), [*at[1:].tolist(), len(lead)], strict=True):
+    for i, j in zip(at.tolist(), [*at[1:].tolist(), len(lead)][: len(at)], strict=True):  # no keys, no rows
         rows["bucket"].append(int(lead[i]))
         rows["chunk"].append(chunk)
         if cut40:
