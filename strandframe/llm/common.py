@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 
 import numpy as np
 import xxhash
@@ -11,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOWEST = -(2**63)
+#: Least time between two collections of what checkpoints left behind.
+COLLECT_SECONDS = 3.0
+_collected = [0.0]
 #: Words are runs of bytes other than these.
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -41,8 +45,10 @@ def cut(df: DataFrame) -> DataFrame:
     out = df.checkpoint(eager=True)
     del df
     # shuffle files behind an earlier checkpoint are of no more use; Spark drops them when their RDDs are collected
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if time.monotonic() - _collected[0] > COLLECT_SECONDS:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _collected[0] = time.monotonic()
     return out
 
 
