@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strandframe.operators.regions import Region
-from strandframe.sources.files import SOURCES
+from strandframe.sources.files import PUSHING, SOURCES
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
-def register_all(spark: SparkSession) -> None:
-    for source in SOURCES:
+
+def register_all(spark: SparkSession, pushdown: bool = True) -> None:
+    """Registers the formats bed, vcf, fasta, fastq, bam and cram; with pushdown, filters choose contigs and ranges by an index.
+
+    Spark hands filters to Python sources only while the setting PUSHDOWN is on, and refuses such sources while it is off,
+    so this turns it on; call it with pushdown=False to leave the setting alone.
+    """
+    if pushdown:
+        spark.conf.set(PUSHDOWN, "true")
+    for source in PUSHING if pushdown else SOURCES:
         spark.dataSource.register(source)
 
 
@@ -22,9 +31,18 @@ def read_bam(spark, path, **options) -> DataFrame:
     return read(spark, "bam", path, **options)
 
 
+def read_sam(spark, path, **options) -> DataFrame:
+    return read(spark, "bam", path, **options)
+
+
+def read_cram(spark, path, **options) -> DataFrame:
+    return read(spark, "cram", path, **options)
+
+
 def read_bam_region(spark, path, region: Region, **options) -> DataFrame:
-    """Reads that start in the region."""
-    return read_bam(spark, path, **options).filter(region.to_column())
+    """Reads that start in the region; those alone that overlap it are read where there is an index."""
+    names = ("rname", "pos") if options.get("columnNames", "").lower() == "sam" else ("referenceName", "start")
+    return read_bam(spark, path, region=str(region), **options).filter(region.to_column(*names))
 
 
 def read_vcf(spark, path, **options) -> DataFrame:

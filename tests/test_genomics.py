@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from strandframe.functions import decode
-from strandframe.operators.regions import Region
+from strandframe.operators.regions import Region, outside
 from strandframe.plans.registry import ORACLE_SQL, QUERIES
 from strandframe.sources import api
 
@@ -62,6 +62,54 @@ def test_line_splits_lose_nothing(spark, tmp_path, size):
     assert sorted(r.chromStart for r in api.read_bed(spark, str(p), bedSplitSize=size).collect()) == [1, 3, 5]
 
 
+def test_vcf_end_and_pruned_fields():
+    row = decode.vcf("1\t5\t.\tA\t<DEL>\t.\t.\tEND=90\tGT\t0/1", ["S"])
+    assert decode.vcf_end(row) == 90 and decode.vcf_end(decode.vcf("1\t5\t.\tACG\tA\t.\t.\t.", [])) == 7
+    assert decode.vcf("1\t5\t.\tA\tC\t.\t.\tDP=1\tGT\t0/1", ["S"], {0, 1})[7:] == ({}, "GT", None)
+
+
+def test_folders_globs_and_lists(spark, tmp_path):
+    (tmp_path / "d" / "sub").mkdir(parents=True)
+    for n in ("a_R1_.fastq", "a_R2_.fastq", "sub/b.fastq"):
+        (tmp_path / "d" / n).write_text(f"@{n[:4]}\nA\n+\nI\n")
+    (tmp_path / "d" / "notes.txt").write_text("x")
+    (tmp_path / "none").mkdir()
+    d = str(tmp_path / "d")
+    assert sorted((r.readName, r.readNumber) for r in api.read_fastq(spark, d).collect()) == [("a_R1", 1), ("a_R2", 2)]
+    assert api.read_fastq(spark, f"{d}/*_R?_.fastq").count() == 2
+    assert api.read_fastq(spark, [f"{d}/sub", f"{d}/a_R1_.fastq", f"{d}/a_R1_.fastq"]).count() == 2
+    assert api.read_fastq(spark, str(tmp_path / "none")).count() == 0
+    sam = "@SQ\tSN:c\tLN:9\n\nr\t0\tc\t1\t9\t1M\t*\t0\t0\tA\tI\n"
+    for n in ("x.sam", "y.sam"):
+        (tmp_path / "d" / n).write_text(sam)
+    assert api.read_sam(spark, d).count() == api.read_sam(spark, f"{d}/?.sam").count() == 2
+
+
+def test_pushed_filters_reach_the_reader_and_are_checked(spark, tmp_path):
+    p = tmp_path / "x.fa"
+    p.write_text(">a\nAC\n>b\nG\n")
+    (tmp_path / "x.fa.fai").write_text("a\t2\t3\t2\t3\nb\t1\t9\t1\t2\n")
+    df = api.read_fasta(spark, str(p), numPartitions=2)
+    assert df.rdd.getNumPartitions() == 2
+    one = df.filter("name = 'b' AND length > 0")
+    assert one.rdd.getNumPartitions() == 1 and [r.sequence for r in one.collect()] == ["G"]
+    assert api.read_fasta(spark, str(p), useIndex="false").filter("name = 'b'").count() == 1
+    assert df.limit(5).count() == 2
+
+
+def test_schema_prunes(spark, tmp_path):
+    p = tmp_path / "x.bed"
+    p.write_text("c\t1\t2\tn\n")
+    api.register_all(spark)
+    assert [tuple(r) for r in spark.read.format("bed").schema("name string, chrom string").load(str(p)).collect()] == [("n", "c")]
+
+
+def test_overlap_and_outside_with_nulls(spark):
+    reads = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, None, 5), (4, "a", 30_000), (5, "b", 5)], "n long, c string, p long")
+    spans = spark.createDataFrame([("a", 0, 6), ("a", 7, 7), ("a", 10, 50_000), (None, 0, 9)], "k string, s long, e long")
+    assert sorted(r.n for r in outside(reads, spans, ("c", "k"), "p", ("s", "e")).collect()) == [2, 3, 5]
+
+
 def test_bad_options_raise(spark, tmp_path):
     p = tmp_path / "x.bed"
     p.write_text("")
