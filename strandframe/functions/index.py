@@ -16,6 +16,17 @@ STATISTICS = 37450
 Ranges = list[tuple[int, int]]
 
 
+def merged(ranges: Ranges) -> Ranges:
+    """The same places in disjoint ranges."""
+    out: Ranges = []
+    for begin, stop in sorted(ranges):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], stop))
+        else:
+            out.append((begin, stop))
+    return out
+
+
 @dataclass
 class Contig:
     """The bins of a contig: chunks of virtual offsets; `low` has the least offset by window (linear) or by bin (CSI)."""
@@ -44,13 +55,7 @@ class Contig:
             else:
                 found += [c for b in range(base + (first >> bits), base + (last >> bits) + 1) for c in self.bins.get(b, ())]
             base += 1 << 3 * level
-        out: Ranges = []
-        for begin, stop in sorted(c for c in found if c[1] > least):
-            if out and begin <= out[-1][1]:
-                out[-1] = (out[-1][0], max(out[-1][1], stop))
-            else:
-                out.append((begin, stop))
-        return out
+        return merged([c for c in found if c[1] > least])
 
     def span(self) -> tuple[int, int] | None:
         """Where the contig's records begin and end."""
@@ -153,7 +158,11 @@ def planned(contigs: dict[str, Contig], wanted: list[tuple[str, int, int]] | Non
     spans = [s for c in contigs.values() if (s := c.span())]
     end = max((s[1] for s in spans), default=0)
     if wanted is not None:
-        found = [r for name, a, b in wanted if name in contigs for r in pieces(contigs[name], most, contigs[name].chunks(a, b))]
+        by_name: dict[str, Ranges] = {}
+        for name, a, b in wanted:
+            if name in contigs:
+                by_name.setdefault(name, []).extend(contigs[name].chunks(a, b))
+        found = [r for name, x in by_name.items() for r in pieces(contigs[name], most, merged(x))]
         total = sum((b >> 16) - (a >> 16) for a, b in found)
         return packed(found, max(1, min(groups, -(-total // most)))), end
     if len(spans) > groups:

@@ -293,6 +293,14 @@ def sql_view_region(spark, sf_dir):
     return spark.sql("SELECT readName FROM strandframe_reads WHERE referenceName = 'chr3' AND start > 500")
 
 
+@query(f"SELECT readName, count(*) AS n FROM (SELECT n AS readName FROM {SORTED_SQL} WHERE ref = 'chr3' AND pos > 500 AND NOT lost UNION ALL SELECT n FROM {SORTED_SQL} WHERE ref = 'chr1' AND NOT lost) GROUP BY readName")
+def sql_view_pushdown(spark, sf_dir):
+    """Two scans of one view, each with its own filter."""
+    api.view(spark, "strandframe_sorted", "bam", made(spark, sf_dir, "sorted.bam"))
+    both = spark.sql("SELECT readName FROM strandframe_sorted WHERE referenceName = 'chr3' AND start > 500 UNION ALL SELECT readName FROM strandframe_sorted WHERE referenceName = 'chr1'")
+    return both.groupBy("readName").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"SELECT n AS readName, ref AS referenceName, pos AS start FROM {READ_SQL} ORDER BY ref, pos, n LIMIT 200")
 def sorted_scan(spark, sf_dir):
     return load(spark, sf_dir, "orders.bam", columns="readName,referenceName,start").orderBy("referenceName", "start", "readName").limit(200)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandframe.operators.regions import Region
 from strandframe.sources.files import PUSHING, SOURCES
@@ -22,9 +26,31 @@ def register_all(spark: SparkSession, pushdown: bool = True) -> None:
         spark.dataSource.register(source)
 
 
+#: A column of each format that is never null, and the least it can be.
+ALWAYS = {"bam": ("flags", -(2**31)), "cram": ("flags", -(2**31)), "vcf": ("chrom", ""), "bed": ("chrom", ""), "fasta": ("name", "")}
+
+
 def read(spark: SparkSession, kind: str, path, **options) -> DataFrame:
+    """Loads files. Filters on the contig and the start choose what is read of files that have an index."""
     register_all(spark)
-    return spark.read.format(kind).options(**options).load(path)
+    reader = spark.read.format(kind)
+    if kind not in ALWAYS or options.get("region"):
+        return reader.options(**options).load(path)
+    # see PushingReader: the file is the driver's alone
+    options["asked"] = os.path.join(tempfile.mkdtemp(prefix="strandframe-asked-"), "regions.json")
+    column, least = ALWAYS[kind]
+    if column == "flags" and options.get("columnNames", "").lower() == "sam":
+        column = "flag"
+    wanted = [c.strip() for c in options.get("columns", "").split(",") if c.strip()]
+    if wanted and column not in wanted:
+        options["columns"] = ",".join([*wanted, column])
+    out = reader.options(**options).load(path).filter(F.col(column) >= F.lit(least))
+    return out.select(*wanted) if wanted else out
+
+
+def view(spark: SparkSession, name: str, kind: str, path, **options) -> None:
+    """A temporary view of files for SQL; as read(), its filters choose what is read."""
+    read(spark, kind, path, **options).createOrReplaceTempView(name)
 
 
 def read_bam(spark, path, **options) -> DataFrame:

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import gzip
 import json
+import os
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import types as T
@@ -58,7 +59,6 @@ class Pushed:
     contigs: set | None = None
     low: int = 0
     high: int = LAST
-    seen: list = field(default_factory=list)
 
     def add(self, f, places: tuple) -> None:
         contig, start, end = places
@@ -137,7 +137,7 @@ class Reader(DataSourceReader):
     def __init__(self, kind: str, schema: StructType, options: dict):
         self.kind, self.schema, self.options = kind, schema, options
         self.region = Region.parse(options["region"]) if options.get("region") else None
-        self.pushed = Pushed()
+        self.pushed, self.told = Pushed(), None
         self.files = listed(options, kind)
         self.groups = positive(options, "numPartitions", 200)
         self.line_split = positive(options, LINE_SPLIT.get(kind, "lineSplitSize"), SPLIT)
@@ -157,7 +157,11 @@ class Reader(DataSourceReader):
     def regions(self) -> list[tuple[str, int, int]] | None:
         if self.region:
             return [(self.region.contig, self.region.start, min(self.region.end, LAST))]
-        return self.pushed.regions(self.kind)
+        return self.asked()
+
+    def asked(self) -> list[tuple[str, int, int]] | None:
+        """Regions named by filters; None: all records."""
+        return None
 
     def partitions(self) -> list[Span]:
         out = []
@@ -439,13 +443,40 @@ class Reader(DataSourceReader):
 
 
 class PushingReader(Reader):
-    """Chooses contigs and ranges by filters where files have an index; Spark still checks every filter."""
+    """Chooses contigs and ranges by filters where files have an index; Spark still checks every filter.
+
+    Spark keeps one plan of partitions for a loaded DataFrame, the last one made, and all its scans use it, those
+    without filters and those planned before too. So a plan must hold what every scan so far has asked for: that is
+    written down in the file named by the option `asked`, which api.read() sets, and without the option filters choose
+    nothing. api.read() also puts a filter that is always true above the source, without which Spark wouldn't tell
+    of a scan that has none.
+    """
 
     def pushFilters(self, filters):
         places = SAM_PLACES if self.options.get("columnNames", "").lower() == "sam" else PLACES[self.kind]
         for f in filters:
             self.pushed.add(f, places)
             yield f
+        own = self.pushed.regions(self.kind)
+        self.told = self.noted([list(r) for r in own] if own is not None else None)
+
+    def noted(self, own: list | None) -> list | None:
+        """The regions that all scans so far asked for; None for everything."""
+        path = self.options.get("asked")
+        if not path:
+            return None
+        before: list | None = []
+        if os.path.exists(path):
+            with open(path) as f:
+                before = json.load(f)
+        every = None if own is None or before is None else [*before, *(r for r in own if r not in before)]
+        with open(f"{path}.{os.getpid()}", "w") as f:
+            json.dump(every, f)
+        os.replace(f"{path}.{os.getpid()}", path)
+        return every
+
+    def asked(self) -> list[tuple[str, int, int]] | None:
+        return [tuple(r) for r in self.told] if self.told is not None else None
 
 
 def schema_of(kind: str, options: dict, pruned: bool = True) -> StructType:

@@ -87,14 +87,20 @@ def test_folders_globs_and_lists(spark, tmp_path):
 
 def test_pushed_filters_reach_the_reader_and_are_checked(spark, tmp_path):
     p = tmp_path / "x.fa"
-    p.write_text(">a\nAC\n>b\nG\n")
-    (tmp_path / "x.fa.fai").write_text("a\t2\t3\t2\t3\nb\t1\t9\t1\t2\n")
-    df = api.read_fasta(spark, str(p), numPartitions=2)
-    assert df.rdd.getNumPartitions() == 2
+    p.write_text(">a\nAC\n>b\nG\n>c\nT\n")
+    (tmp_path / "x.fa.fai").write_text("a\t2\t3\t2\t3\nb\t1\t9\t1\t2\nc\t1\t14\t1\t2\n")
+    df = api.read_fasta(spark, str(p), numPartitions=3)
     one = df.filter("name = 'b' AND length > 0")
     assert one.rdd.getNumPartitions() == 1 and [r.sequence for r in one.collect()] == ["G"]
+    # scans of one DataFrame share their plan in Spark: none may lose rows by another's filter
+    assert df.filter("name = 'a'").union(df.filter("name = 'b'")).count() == 2
+    assert df.filter("name = 'a'").alias("x").crossJoin(df.alias("y")).count() == 3
+    assert df.count() == 3 and df.limit(5).count() == 3 and [r.name for r in one.collect()] == ["b"]
     assert api.read_fasta(spark, str(p), useIndex="false").filter("name = 'b'").count() == 1
-    assert df.limit(5).count() == 2
+    plain = spark.read.format("fasta").load(str(p))
+    assert plain.filter("name = 'b'").count() == 1 and plain.count() == 3
+    pruned = api.read_fasta(spark, str(p), columns="length")
+    assert pruned.columns == ["length"] and pruned.count() == 3
 
 
 def test_schema_prunes(spark, tmp_path):

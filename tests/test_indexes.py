@@ -1,7 +1,9 @@
 """Indexes, splits and pushed filters against whole reads, without a session."""
 
+import os
 import random
 import struct
+import tempfile
 import zlib
 
 import pytest
@@ -15,6 +17,8 @@ CONTIGS = ["chr1", "chr10", "chr2"]
 
 def reader(kind: str, filters=(), **options) -> Reader:
     options = {k: str(v) for k, v in options.items()}
+    if filters:
+        options.setdefault("asked", os.path.join(tempfile.mkdtemp(), "asked.json"))
     made = (PushingReader if filters else Reader)(kind, schema_of(kind, options), options)
     if filters:
         assert list(made.pushFilters(list(filters))) == list(filters)  # Spark checks all of them again
@@ -92,6 +96,14 @@ def test_pushed_filters_choose_ranges(tmp_path, kind):
     assert len(got) < 100
     # without an index every row is read, so that Spark's own check decides
     assert len(rows_of(reader(kind, filters, path=path))) == 800
+    assert len(rows_of(reader(kind, filters, path=path, indexDir=own, asked=""))) == 800
+    # what a scan asked for before is in later plans of the same load
+    asked = tmp_path / "asked"
+    rows_of(reader(kind, filters, path=path, indexDir=own, asked=asked))
+    again = rows_of(reader(kind, [EqualTo((names[0],), "chr10"), LessThan((names[1],), 9000)], path=path, indexDir=own, asked=asked))
+    assert [x for x in again if wanted(x)] == [x for x in got if wanted(x)] and len({x["id" if kind == "vcf" else "name"] for x in again}) == len(again)
+    assert len(rows_of(reader(kind, [LessThan((names[1],), 9000)], path=path, indexDir=own, asked=asked))) == 800
+    assert len(rows_of(reader(kind, filters, path=path, indexDir=own, asked=asked))) == 800
     both = rows_of(reader(kind, [In((names[0],), ["chr1", "chr2", "none"])], path=path, indexDir=own))
     assert {x[names[0]] for x in both} == {"chr1", "chr2"} and len(both) == sum(x[names[0]] != "chr10" for x in read(kind, path=path))
 
