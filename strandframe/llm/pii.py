@@ -136,25 +136,27 @@ def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     edges = cut(edges)
     known = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.sum("c").alias("w"))
     kind = known.groupBy("pattern").agg(F.max(F.struct("w", "kind")).alias("x")).select("pattern", F.col("x.kind").alias("of"))
-    worth = edges.groupBy("instance").agg(F.max(F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0)).alias("trust"))
+    # both sides of the joins come from checkpoints, so that a common pattern or instance can be split
+    worth = cut(edges.groupBy("instance").agg(F.max(F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0)).alias("trust")))
     patterns = None
     for _ in range(rounds):
         patterns = cut(edges.join(worth, "instance").groupBy("pattern").agg((F.sum(F.col("c") * F.col("trust")) / F.sum("c")).alias("score"), F.sum(F.col("c") * F.col("trust")).alias("seeds")))
         doubt = F.exp(F.sum(F.log1p(-F.least(F.col("score") * F.col("seeds") / (F.col("seeds") + 2), F.lit(0.999)))))
-        worth = edges.join(patterns, "pattern").groupBy("instance").agg(F.when(F.max("kind").isNotNull(), 1.0).otherwise(1 - doubt).alias("trust"))
+        worth = cut(edges.join(patterns, "pattern").groupBy("instance").agg(F.when(F.max("kind").isNotNull(), 1.0).otherwise(1 - doubt).alias("trust")))
     return patterns.join(kind, "pattern").select("pattern", F.col("of").alias("kind"), "score", "seeds")
 
 
 def find_personal(docs: DataFrame, rounds: int = ROUNDS, least: float = LEAST_SCORE, seeds: float = LEAST_SEEDS) -> DataFrame:
     """(doc_id, base, found) for each document; base and found: arrays of (start, end, kind name), found only by context.
 
-    Null text: empty. Null doc_id stays null. Repeated rows give rows each. Other columns are ignored; an empty
-    table gives an empty result.
+    Whole texts are read, however long. Null text: empty. Null doc_id stays null. Repeated rows give rows each.
+    Base spans that start together come in the order of KINDS. Other columns are ignored, whatever their names; an
+    empty table gives an empty result.
     """
     rows = cut(scan(docs))
     occurrences = rows.select("row", F.explode("cands").alias("x")).select("row", "x.*")
     edges = occurrences.groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    good = scored(edges, rounds).filter((F.col("score") >= least) & (F.col("seeds") >= seeds)).select("pattern", F.col("kind").alias("of"))
+    good = cut(scored(edges, rounds).filter((F.col("score") >= least) & (F.col("seeds") >= seeds)).select("pattern", F.col("kind").alias("of")))
     more = occurrences.filter("kind is null").join(good, "pattern").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.col("of").alias("kind")))).alias("found"))
     name = F.array(*[F.lit(k) for k in KINDS])
     base = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.element_at(name, x["kind"] + 1).alias("kind")))

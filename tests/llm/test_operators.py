@@ -1,6 +1,7 @@
 """Operators against brute force on small tables that hold nulls, empty texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -116,6 +117,31 @@ def test_shards(docs):
         assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
 
 
+def best_spread(sizes, k):
+    """The least difference between the largest and the least shard, by trying all."""
+    best = None
+    for places in itertools.product(range(k), repeat=len(sizes)):
+        sums = [0] * k
+        for s, p in zip(sizes, places, strict=True):
+            sums[p] += s
+        if best is None or max(sums) - min(sums) < best:
+            best = max(sums) - min(sums)
+    return best
+
+
+def test_differencing_is_near_the_optimum():
+    r = random.Random(3)
+    assert sorted(karmarkar_karp.difference([[x] for x in (4, 5, 6, 7, 8)], 2)[0]) == [14, 16]
+    for _ in range(30):
+        sizes = [r.randint(1, 60) for _ in range(8)]
+        sums, places = karmarkar_karp.difference([[x] for x in sizes], 3)
+        own = [0] * 3
+        for s, p in zip(sizes, places, strict=True):
+            own[p[0]] += s
+        assert own == sums and sum(own) == sum(sizes)
+        assert max(sums) - min(sums) <= best_spread(sizes, 3) + max(sizes) // 2
+
+
 def test_base_spans():
     t = "a@b.c, x.y@z.co.uk 1.2.3.4.5 300.1.1.1, 4111 1111-1111 1111 +1 (203) 555-0199."
     assert [(t[s:e], pii.KINDS[k]) for s, e, k in pii.base_spans(t)] == [("a@b.c", "email"), ("x.y@z.co.uk", "email"), ("1.2.3.4", "ip"), ("4111 1111-1111 1111", "card"), ("+1 (203) 555-0199", "phone")]
@@ -175,17 +201,75 @@ def test_decontamination_between_offsets(spark):
     assert got == pytest.approx(want)
 
 
-def test_mixture_meets_margins(docs):
-    rows = mixing.mixed(docs, share=0.5).collect()
+def fitted(cells, shares, order):
+    """Plain raking of {cell: tokens} to shares by margin."""
+    w = dict(cells)
+    for _ in range(4000):
+        for at, margin in enumerate(order):
+            for v, x in shares[margin].items():
+                have = sum(y for c, y in w.items() if c[at] == v)
+                for c in w:
+                    if c[at] == v and have:
+                        w[c] *= x / have
+    return w
+
+
+@pytest.mark.parametrize("wanted", [None, {"source": {"s0": 3, "s1": 1, "s2": 1, "s3": 1, "none": 5}, "lang": {"en": 1, None: 1}}])
+def test_mixture_meets_all_margins(docs, wanted):
+    rows = mixing.mixed(docs, wanted, share=0.5).collect()
     assert len(rows) == len(texts())
     weight = {(r.source, r.lang, r.topic): r.weight for r in rows}
-    tokens = Counter()
+    tokens: Counter = Counter()
     for r in rows:
-        tokens[r.source] += r.tokens
-    whole = sum(v**mixing.POWER for v in tokens.values())
-    for s, t in tokens.items():
-        assert sum(w for k, w in weight.items() if k[0] == s) == pytest.approx(t**mixing.POWER / whole, abs=0.05)
+        tokens[r.source, r.lang, r.topic] += r.tokens
+    shares = {}
+    for at, m in enumerate(mixing.MARGINS):
+        sums: Counter = Counter()
+        for c, t in tokens.items():
+            sums[c[at]] += t
+        given = {k: (wanted or {}).get(m, {}).get(k or None, 0) if m in (wanted or {}) else t**mixing.POWER for k, t in sums.items()}
+        shares[m] = {k: x / sum(given.values()) for k, x in given.items()}
+        for v, x in shares[m].items():
+            assert sum(w for k, w in weight.items() if k[at] == v) == pytest.approx(x, abs=2e-4)
+    for c, x in fitted(tokens, shares, mixing.MARGINS).items():
+        assert weight[c] == pytest.approx(x, abs=2e-3)
     assert sum(r.p * r.tokens for r in rows) / sum(tokens.values()) == pytest.approx(0.5, abs=0.02)
+    assert all(0 <= r.p <= 1 for r in rows)
+    # of cells that don't give all, probabilities are in proportion to weights
+    ratio = [r.p * tokens[r.source, r.lang, r.topic] / r.weight for r in rows if 0 < r.p < 1]
+    assert max(ratio) == pytest.approx(min(ratio))
+
+
+def test_mixture_refuses_unknown_margins(docs):
+    with pytest.raises(ValueError):
+        mixing.mixed(docs, {"colour": {}})
+
+
+def plain_spans(t):
+    """The contract's patterns, as they stand."""
+    found = []
+    find = lambda p: [(m.start(), m.end(), m[0]) for m in re.finditer(p, t)]
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    found += [(s, e, 0) for s, e, _ in find(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")]
+    found += [(s, e, 1) for s, e, x in find(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)") if all(int(p) <= 255 for p in x.split("."))]
+    luhn = lambda d: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+    found += [(s, e, 2) for s, e, x in find(r"[0-9]([\x20-]?[0-9])+") if 12 <= len(digits(x)) <= 19 and luhn(digits(x))]
+    found += [(s, e, 3) for s, e, x in find(r"\+[0-9][\x20().0-9-]+[0-9]") if 9 <= len(digits(x)) <= 15]
+    return sorted(found, key=lambda x: (x[0], x[2]))
+
+
+def test_base_spans_against_the_patterns():
+    r = random.Random(7)
+    parts = ["192.168.1.1", "@", "host.com", "4111111111111111", "+1 (203) 555-0199", ".", "-", " ", "1", "22", "a", "+", "b@c.de", "999.1.1.1", "(", ")", "4111 1111 1111 1111", "é", "12.5.6.7.8"]
+    for _ in range(4000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(1, 7)))
+        assert pii.base_spans(t) == plain_spans(t), t
+
+
+def test_words_before():
+    assert pii.words_before("Call  me\tNOW 555", 13) == "me now"
+    long = "x" * 300
+    assert pii.words_before(f"a {long} b 1", len(long) + 5) == pii.words_before(f"zz {long} b 1", len(long) + 6) != pii.words_before(f"a {long}y b 1", len(long) + 6)
 
 
 def test_ann_recall_and_odd_vectors(spark):
