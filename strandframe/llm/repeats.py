@@ -8,10 +8,13 @@ with its text and a key that a third of the corpus holds costs one row per chunk
 
 1. q-grams that one chunk alone has are settled: nothing under them repeats.
 2. Segments under the others are compared whole; an earlier equal segment settles all its windows.
-3. Where a q-gram has several segments, the first of each sends its windows one by one; where documents do not
-   repeat themselves, further copies in the first document take the answers of these.
+3. Where a q-gram has several segments, the first of each is refined window by window: of words by the windows'
+   keys, of bytes by `refined()` on the segments' own text. Where documents do not repeat themselves, further
+   copies in the first document take the answers of these.
 
-Keys of rounds 2 and 3 have 128 bits. Memory: one chunk, or one bucket of about a million keys.
+Keys of whole segments, and of windows of words, have 128 bits of two independent hashes. Memory: one chunk, or one
+bucket of about a million keys. A q-gram of bytes with more than HOT segments sends its windows one by one, dealt by
+their own hashes, so that a very frequent line is no single key.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +34,10 @@ from .common import LOWEST, ODD, cut, dealt, mix, text_column, word_bounds, word
 
 CHUNK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
+#: Segments under one q-gram beyond which its windows are dealt one by one.
+HOT = 4096
+#: Bytes of segments that are refined at once; segments of one q-gram stay together.
+SLICE = 1 << 18
 PIECE = 1 << 17
 _rng = np.random.Generator(np.random.PCG64(77))
 BYTE = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -261,19 +269,143 @@ class Chunk:
         return own, one, two, doc, pos, f, c
 
 
+@dataclass
+class Units:
+    """What a chunk sends to be refined: first segments of several under one q-gram, or single windows of hot ones.
+
+    own: the segments, by document and start; their windows, one after another, are `doc` and `pos`. key, start, size
+    and at are those of the units, in the order of their keys; at is where a unit's windows stand among all.
+    """
+
+    own: np.ndarray
+    doc: np.ndarray
+    pos: np.ndarray
+    key: np.ndarray
+    unit_doc: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    at: np.ndarray
+
+
+def units(chunk: Chunk, s: Segments, first: np.ndarray, told: Answers) -> Units:
+    pick = told.several & (told.doc == chunk.docs[s.doc[first]])
+    own, hot = first[pick], told.hot[pick]
+    order = np.lexsort((s.start[own], s.doc[own]))
+    own, hot = own[order], hot[order]
+    size = s.size[own]
+    parts = np.where(hot, size, 1)
+    of = np.repeat(np.arange(len(own)), parts)
+    step = spread(np.zeros(len(own), np.int64), parts)
+    doc, start = s.doc[own][of], s.start[own][of] + step
+    key = s.gram[own][of]
+    for i in np.flatnonzero(hot[of]).tolist():
+        key[i] = xxhash.xxh3_64_intdigest(chunk.texts[doc[i]][start[i] : start[i] + chunk.kind.window])
+    by_key = np.argsort(key, kind="stable")
+    own_at = np.cumsum(size) - size
+    return Units(own, np.repeat(s.doc[own], size), spread(s.start[own], size), key[by_key], doc[by_key], start[by_key], np.where(hot[of], 1, size[of])[by_key], (own_at[of] + step)[by_key])
+
+
+def asked_texts(chunk_id: int, chunk: Chunk, u: Units, bits: int) -> pa.Table:
+    """The units' keys, documents, sizes and texts, dealt to buckets by the keys' leading bits."""
+    lead = (u.key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(u.key), np.int64)
+    at = np.flatnonzero(np.diff(lead, prepend=-1)) if len(lead) else np.zeros(0, np.int64)
+    rows: dict[str, list] = {"bucket": [], "keys": [], "docs": [], "pos": []}
+    c = zstandard.ZstdCompressor(3)
+    for i, j in zip(at.tolist(), [*at[1:].tolist(), len(lead)][: len(at)], strict=True):
+        texts = [chunk.texts[d][a : a + n + chunk.kind.window - 1] for d, a, n in zip(u.unit_doc[i:j].tolist(), u.start[i:j].tolist(), u.size[i:j].tolist(), strict=True)]
+        rows["bucket"].append(int(lead[i]))
+        rows["keys"].append(u.key[i:j].tobytes())
+        rows["docs"].append(tight(chunk.docs[u.unit_doc[i:j]]))
+        rows["pos"].append(c.compress(u.size[i:j].astype(np.int32).tobytes() + b"".join(texts)))
+    return pa.table({"bucket": pa.array(rows["bucket"], pa.int64()), "chunk": pa.array([chunk_id] * len(at), pa.int64()), **{k: pa.array(rows[k], pa.binary()) for k in ("keys", "docs", "pos")}})
+
+
+def refined(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A class for each start: starts of one class have the same `length` bytes behind them.
+
+    Bucket-pointer refinement: suffixes stand in buckets of their first q bytes; sorted by the identifier of their
+    bucket and of that at the offset q, they stand in buckets of 2q bytes, whose identifiers serve again for 4q. In
+    the last step only buckets with several of the starts are refined; the others are settled.
+    """
+    have = 8
+    while have > length:
+        have //= 2
+    n = np.uint64(len(data) + 1)
+    values = np.zeros(len(data) - have + 1, np.uint64)
+    for i in range(have):
+        values = values << np.uint64(8) | data[i : i + len(values)]
+    rank = lambda x: np.unique(x, return_inverse=True)[1].astype(np.uint64)
+    ids = rank(values)
+    while have * 2 <= length:
+        ids = rank(ids[:-have] * n + ids[have:])
+        have *= 2
+    out = ids[at].astype(np.int64)
+    if have < length:
+        open_ = np.flatnonzero(np.bincount(out)[out] > 1)
+        finer = rank(ids[at[open_]] * n + ids[at[open_] + length - have])
+        out[open_] = finer.astype(np.int64) + int(n)
+    return out
+
+
+def earliest_texts(table: pa.Table, length: int) -> pa.Table:
+    """Round 3 of bytes in a bucket: for each window of the units the first document that has it."""
+    un = zstandard.ZstdDecompressor()
+    key = [np.frombuffer(b, np.uint64) for b in table["keys"].to_pylist()]
+    doc = [loose([b], np.int64) for b in table["docs"].to_pylist()]
+    raw = [un.decompress(b) for b in table["pos"].to_pylist()]
+    size = [np.frombuffer(r, np.int32, len(k)).astype(np.int64) for r, k in zip(raw, key, strict=True)]
+    text = np.concatenate([np.frombuffer(r, np.uint8, offset=4 * len(k)) for r, k in zip(raw, key, strict=True)])
+    windows = [int(x.sum()) for x in size]
+    keys, docs, sizes = np.concatenate(key), np.concatenate(doc), np.concatenate(size)
+    spans = sizes + length - 1
+    begin, answer_at = np.cumsum(spans) - spans, np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.int64)
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = keys[order][1:] != keys[order][:-1]
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(order))
+    upto = np.cumsum(spans[order])[ends - 1]
+    g = 0
+    while g < len(starts):
+        # whole groups of one key, up to a slice
+        h = max(g + 1, int(np.searchsorted(upto, (upto[g - 1] if g else 0) + SLICE, side="right")))
+        i, j, g = starts[g], ends[h - 1], h
+        part = order[i:j]
+        data = text[spread(begin[part], spans[part])]
+        own = np.cumsum(spans[part]) - spans[part]
+        found = refined(data, spread(own, sizes[part]), length)
+        of = np.repeat(docs[part], sizes[part])
+        by = np.lexsort((of, found))
+        head = np.ones(len(by), bool)
+        head[1:] = found[by][1:] != found[by][:-1]
+        least = np.empty(len(by), np.int64)
+        least[by] = of[by][head][np.cumsum(head) - 1]
+        out[spread(answer_at[part], sizes[part])] = least
+    flat = [out[e - n : e] for e, n in zip(np.cumsum(windows).tolist(), windows, strict=True)]
+    none = [bytes(2 * -(-n // 8)) for n in windows]
+    return told(table, 3, none, windows, [tight(x) for x in flat], [tight(np.zeros(0, np.int64))] * len(flat))
+
+
 @dataclass
 class Answers:
-    """For each key of a chunk: the first document that has it, where, and whether its q-gram has several segments."""
+    """For each key of a chunk: the first document that has it, where, and whether its q-gram has several segments, or very many."""
 
     doc: np.ndarray
     pos: np.ndarray
     several: np.ndarray
+    hot: np.ndarray
 
 
 def answers(rows: list[dict]) -> Answers:
     rows = sorted(rows, key=lambda r: r["bucket"])
-    bits = [np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]) for r in rows]
-    return Answers(loose([r["docs"] for r in rows], np.int64), loose([r["pos"] for r in rows], np.int64), np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool))
+    bits: list[list] = [[], []]
+    for r in rows:
+        raw = np.frombuffer(r["bits"], np.uint8)
+        for out, part in zip(bits, np.split(raw, 2), strict=True):
+            out.append(np.unpackbits(part, count=r["n"]))
+    several, hot = (np.concatenate(x).astype(bool) if x else np.zeros(0, bool) for x in bits)
+    return Answers(loose([r["docs"] for r in rows], np.int64), loose([r["pos"] for r in rows], np.int64), several, hot)
 
 
 TOLD = pa.schema([("chunk", pa.int64()), ("round", pa.int32()), ("bucket", pa.int64()), ("n", pa.int64()), ("docs", pa.binary()), ("pos", pa.binary()), ("bits", pa.binary())])
@@ -356,13 +488,14 @@ def earliest(table: pa.Table, nth: int) -> pa.Table:
         new = np.ones(len(own), bool)
         new[1:] = own[1:] != own[:-1]
         gram = np.cumsum(new) - 1
-        several = (np.bincount(gram)[gram] > 1)[of] if len(own) else np.zeros(0, bool)
+        count = np.bincount(gram)[gram][of] if len(own) else np.zeros(0, np.int64)
     else:
-        several = np.zeros(len(of), bool)
+        count = np.zeros(len(of), np.int64)
+    flags = lambda a, b: np.packbits(count[a:b] > 1).tobytes() + np.packbits(count[a:b] > HOT).tobytes()
     d, p = doc[first][of], pos[first][of]
     ends = np.cumsum(sizes)
     spans = [(e - n, e) for e, n in zip(ends.tolist(), sizes, strict=True)]
-    return told(table, nth, [np.packbits(several[a:b]).tobytes() for a, b in spans], sizes, [tight(d[a:b]) for a, b in spans], [tight(p[a:b]) for a, b in spans])
+    return told(table, nth, [flags(a, b) for a, b in spans], sizes, [tight(d[a:b]) for a, b in spans], [tight(p[a:b]) for a, b in spans])
 
 
 def known(rows: list[dict], bits: int) -> tuple[tuple[np.ndarray, int], dict[int, list[dict]]]:
@@ -409,6 +542,8 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
         chunk = Chunk(table, kind)
         wanted, by = known(more.to_pylist(), bits)
         s, first, of = chunk.second(wanted)
+        if not kind.words:
+            return asked_texts(key[0].as_py(), chunk, units(chunk, s, first, answers(by[2])), bits)
         _, one, two, doc, pos, f, _ = chunk.third(s, first, of, answers(by[2]))
         return asked(key[0].as_py(), [one[f], two[f]], chunk.docs[doc[f]], pos[f] if kind.within else None, bits)
 
@@ -417,7 +552,16 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
         wanted, by = known(more.to_pylist(), bits)
         s, first, of = chunk.second(wanted)
         said = answers(by[2])
-        own, _, _, w_doc, w_pos, _, c = chunk.third(s, first, of, said)
+        windows = answers(by[3])
+        if kind.words:
+            own, _, _, w_doc, w_pos, _, c = chunk.third(s, first, of, said)
+            w_src, w_at = windows.doc[c], windows.pos[c]
+        else:
+            u = units(chunk, s, first, said)
+            own, w_doc, w_pos = u.own, u.doc, u.pos
+            w_src = np.zeros(len(w_doc), np.int64)
+            w_src[spread(u.at, u.size)] = windows.doc
+            w_at = np.zeros(len(w_doc), np.int64)
         # segments with an earlier equal one, whole; the windows of first segments one by one
         rest = np.ones(len(s.doc), bool)
         rest[own] = False
@@ -426,17 +570,16 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
         step = spread(np.zeros(len(rest), np.int64), s.size[rest])
         doc = np.concatenate([np.repeat(s.doc[rest], s.size[rest]), w_doc])
         pos = np.concatenate([spread(s.start[rest], s.size[rest]), w_pos])
-        windows = answers(by[3])
         src, at = np.repeat(src, s.size[rest]), np.repeat(at, s.size[rest]) + step
         if not kind.within:
             # a segment that its first document holds again: the windows as where it sent them
             sent = np.full(len(first), -1)
             sent[of[own]] = np.cumsum(s.size[own]) - s.size[own]
             like = (sent[of[rest]] >= 0) & (said.doc[of[rest]] == chunk.docs[s.doc[rest]])
-            where, these = c[spread(sent[of[rest]][like], s.size[rest][like])], np.repeat(like, s.size[rest])
-            src[these], at[these] = windows.doc[where], windows.pos[where]
-        src = np.concatenate([src, windows.doc[c]])
-        at = np.concatenate([at, windows.pos[c]])
+            where, these = spread(sent[of[rest]][like], s.size[rest][like]), np.repeat(like, s.size[rest])
+            src[these], at[these] = w_src[where], w_at[where]
+        src = np.concatenate([src, w_src])
+        at = np.concatenate([at, w_at])
         order = np.lexsort((pos, doc))
         doc, pos, src, at = doc[order], pos[order], src[order], at[order]
         mine = chunk.docs[doc]
@@ -448,7 +591,7 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable[[bytes, int, np.ndarr
     with_told = lambda f, told_so_far, ddl: chunks.groupBy("chunk").cogroup(told_so_far.groupBy("chunk")).applyInArrow(f, ddl)
     first = cut(chunks.groupBy("chunk").applyInArrow(round_one, ASKED_DDL).groupBy("bucket").applyInArrow(shared, TOLD_DDL))
     second = cut(with_told(round_two, first, ASKED_DDL).groupBy("bucket").applyInArrow(lambda t: earliest(t, 2), TOLD_DDL))
-    third = cut(with_told(round_three, first.unionByName(second), ASKED_DDL).groupBy("bucket").applyInArrow(lambda t: earliest(t, 3), TOLD_DDL))
+    third = cut(with_told(round_three, first.unionByName(second), ASKED_DDL).groupBy("bucket").applyInArrow(lambda t: earliest(t, 3) if kind.words else earliest_texts(t, kind.window), TOLD_DDL))
     return with_told(last, first.unionByName(second).unionByName(third), ddl)
 
 

@@ -1,9 +1,9 @@
 """Suffix-array dedup by bucket-pointer refinement.
 
-Suffixes start in buckets of equal q-grams. Buckets with one suffix are settled; the others are refined by
-the bucket identifiers of later offsets (i symbols to 2i, each identifier used again for the next), first
-for whole segments, then for every offset still open, until suffixes that share a bucket share `length`
-bytes. The refined buckets give the first document of every repeated string.
+Suffixes stand in buckets of equal q-grams, across the corpus. Buckets that one document alone has are settled. In
+the others, equal stretches of text are taken out whole; what is left is refined by sorting suffixes on the bucket
+identifiers of later offsets, 8 bytes to 16 to 32 to `length`, each round's identifiers serving in the next (see
+`repeats.refined`), until suffixes of one bucket share `length` bytes. A bucket's first document owns the string.
 """
 
 from __future__ import annotations

@@ -4,9 +4,10 @@ import hashlib
 import itertools
 import random
 
+import numpy as np
 import pytest
 
-from strandframe.llm import minhash_dedup, pii, relative_lz, suffix_dedup
+from strandframe.llm import minhash_dedup, pii, relative_lz, repeats, suffix_dedup
 
 from .test_operators import brute
 
@@ -103,3 +104,27 @@ def test_base_spans_of_one_start():
     assert [pii.KINDS[k] for _, _, k in pii.base_spans("192.168.1.1@host.com")] == ["email", "ip"]
     assert [pii.KINDS[k] for _, _, k in pii.base_spans("4111111111111111@b.co")] == ["email", "card"]
     assert [pii.KINDS[k] for _, _, k in pii.base_spans("+4111111111111 1")][:1] == ["phone"]
+
+
+@pytest.mark.parametrize("length", [4, 7, 8, 9, 50])
+def test_refined_classes(length):
+    r = np.random.default_rng(2)
+    data = np.concatenate([r.integers(0, 3, 700), np.tile(r.integers(0, 3, 60), 5), np.zeros(200, int)]).astype(np.uint8)
+    at = r.permutation(len(data) - length + 1)[:600]
+    got = repeats.refined(data, at, length)
+    text = data.tobytes()
+    want = [text[i : i + length] for i in at]
+    assert len(set(got.tolist())) == len(set(want)) == len(set(zip(got.tolist(), want, strict=True)))
+
+
+@pytest.mark.parametrize("hot, piece", [(0, 200), (3, 1 << 18), (4096, 64)])
+def test_frequent_lines_are_dealt_window_by_window(spark, monkeypatch, hot, piece):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "SLICE", piece)
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 3000)
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(r.randint(2, 7)))
+    line = "all rights reserved, see the file named license"
+    rows = [(i, " ".join([*(word() for _ in range(r.randint(0, 15))), line, *(word() for _ in range(r.randint(0, 15)))] * r.randint(1, 2))) for i in range(80)]
+    got = {x.doc_id: (x.n_bytes, x.n_removed, list(x.kept)) for x in suffix_dedup.remove_repeated_bytes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows, lambda t: t.encode(), 50, False)
