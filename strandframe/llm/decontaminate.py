@@ -73,7 +73,9 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFr
     text = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select("doc_id", words("text").alias("w"))
     found = None
     for size in sizes:
-        rows = text.select("doc_id", F.size("w").alias("n"), F.posexplode(grams(F.col("w"), size)).alias("pos", "gram"))
+        # What is beside an explosion goes with each of its rows: never the words. Outer, as Spark else asks before
+        # whether there is anything to explode, by an expression that takes the words anew for each place.
+        rows = text.select("doc_id", F.size("w").alias("n"), grams(F.col("w"), size).alias("g")).select("doc_id", "n", F.posexplode_outer("g").alias("pos", "gram"))
         same = held.filter(F.least("m", F.lit(SHINGLE)) == size) if len(sizes) > 1 else held
         hit = rows.join(same, "gram").select("doc_id", "m", F.greatest(F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("m")), F.lit(0)).alias("start"))
         found = hit if found is None else found.union(hit)
@@ -89,9 +91,11 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFr
         return F.transform(F.sequence(x["start"], last), lambda s: F.struct(s.alias("start"), x["m"].alias("m")))
 
     windows = aligned.select("doc_id", F.flatten(F.transform("at", filled)).alias("at"))
-    own = text.alias("t").join(windows.alias("x"), F.col("t.doc_id").eqNullSafe(F.col("x.doc_id"))).select("t.doc_id", "w", F.explode("at").alias("at"))
-    cut_out = F.slice("w", F.col("at.start") + 1, F.col("at.m"))
-    window = own.filter(F.col("at.start") < F.size("w")).select("doc_id", "at.start", "at.m", cut_out.alias("v")).withColumn("fp", fingerprint(F.col("v"))).select("doc_id", "start", "m", "fp", shingles(F.col("v")).alias("sv"))
+    own = text.alias("t").join(windows.alias("x"), F.col("t.doc_id").eqNullSafe(F.col("x.doc_id"))).select("t.doc_id", "w", "at")
+    inside = F.filter("at", lambda x: x["start"] < F.size("w"))
+    pieces = F.transform(inside, lambda x: F.struct(x["start"].alias("start"), x["m"].alias("m"), F.slice("w", x["start"] + 1, x["m"]).alias("v")))
+    each = own.select("doc_id", pieces.alias("x")).select("doc_id", F.explode_outer("x").alias("x")).filter("x.start is not null").select("doc_id", "x.start", "x.m", "x.v")
+    window = each.withColumn("fp", fingerprint(F.col("v"))).select("doc_id", "start", "m", "fp", shingles(F.col("v")).alias("sv"))
     marked = item.select("item", "item_id", "m", fingerprint(F.col("w")).alias("ifp"), "s").withColumn("block", F.explode(blocks(F.col("ifp"))))
     near = window.withColumn("block", F.explode(blocks(F.col("fp")))).join(marked, ["m", "block"])
     # a pair meets once for each block that agrees: the first counts

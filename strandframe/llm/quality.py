@@ -2,7 +2,11 @@
 
 Trusted positives and unlabelled web text, with an estimated share of positives in the latter, give an
 unbiased risk; its negative part is kept from falling below zero, which is what overfitting would do. The
-score is the classifier's probability. Features are counts over the whole text; nothing else is an input.
+score is the classifier's probability. Features are counts over the whole text, of kinds of bytes and words and
+of hashed words and pairs of words; nothing else is an input.
+
+The unlabelled text is that of labelled documents, good and bad, whose labels the risk doesn't see: of these the
+share of positives is known, and so a bounded sample of labelled rows is all that is fitted on.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slabs, text_column, word_bounds, word_hashes
+from .common import ODD, cut, mix, slabs, text_column, word_bounds, word_hashes
 
 SAMPLE = 20_000
 #: Classes of bytes, by their characters.
@@ -22,11 +26,17 @@ CLASS[128:] = len(SETS)
 for _i, _s in enumerate(SETS):
     CLASS[[ord(c) for c in _s]] = _i
 N_CLASSES = len(SETS) + 2
+#: Buckets of hashed words, and of hashed pairs of neighbours.
+N_WORDS, N_PAIRS = 64, 64
+N_SHAPE = 2 * N_CLASSES + 9
+N_FEATURES = N_SHAPE + N_WORDS + N_PAIRS
+#: How far hashed features count against the others: many and noisy, they'd fit small samples by chance.
+HASHED_WEIGHT = 0.1
 
 
 def features(texts: list[bytes]) -> np.ndarray:
     """A row for each text."""
-    out = [np.zeros((0, 2 * N_CLASSES + 9))]
+    out = [np.zeros((0, N_FEATURES))]
     for _, held in slabs(texts):
         data = np.frombuffer(b"\n".join(held) + b"\n", np.uint8)
         sizes = np.array([len(x) + 1 for x in held])
@@ -53,19 +63,24 @@ def features(texts: list[bytes]) -> np.ndarray:
             up_end = upper & (CLASS[data[np.minimum(starts + 1, ends - 1)]] == 0) & (ends - starts > 1)
         per = lambda x: np.bincount(of, weights=x.astype(float), minlength=len(held)) / w
         more = np.stack([np.log1p(n_words), np.log1p(n[:, 0]), per(same), kinds / w, kinds / np.sqrt(w), per(odd_end), per(upper), per(up_end), (counts[:, 17] + 1) / w], 1)
-        out.append(np.concatenate([counts / n, np.log1p(counts), more], 1))
+        pairs = mix(words[:-1] * ODD[1] + words[1:] * ODD[2]) if len(words) else words
+        inside = of[1:] == of[:-1]
+        hashed = lambda x, doc, k: np.bincount(doc * k + (x % np.uint64(k)).astype(np.int64), minlength=len(held) * k).reshape(-1, k) / np.sqrt(w)[:, None]
+        out.append(np.concatenate([counts / n, np.log1p(counts), more, hashed(words, of, N_WORDS), hashed(pairs[inside], of[1:][inside], N_PAIRS)], 1))
     return np.concatenate(out)
 
 
+def shaped(x: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
+    """What the classifier sees: features to one scale, the squares of those that aren't hashed, and a constant."""
+    z = np.clip((x - mean) / sd, -6, 6)
+    own = z[:, :N_SHAPE]
+    return np.concatenate([own, own * own / 6, z[:, N_SHAPE:] * HASHED_WEIGHT, np.ones((len(z), 1))], 1)
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> dict:
     """Weights that minimise the non-negative risk with the logistic loss."""
     mean, sd = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-
-    def shaped(x):
-        z = np.clip((x - mean) / sd, -6, 6)
-        return np.concatenate([z, z * z / 6, np.ones((len(z), 1))], 1)
-
-    p, u = shaped(positive), shaped(unlabelled)
+    p, u = shaped(positive, mean, sd), shaped(unlabelled, mean, sd)
     w = np.zeros(p.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
@@ -82,8 +97,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
 
 
 def predict(model: dict, x: np.ndarray) -> np.ndarray:
-    z = np.clip((x - model["mean"]) / model["sd"], -6, 6)
-    f = np.concatenate([z, z * z / 6, np.ones((len(z), 1))], 1) @ model["w"]
+    f = shaped(x, model["mean"], model["sd"]) @ model["w"]
     return 1 / (1 + np.exp(-np.clip(f, -30, 30)))
 
 
@@ -93,24 +107,25 @@ def held_out(doc_id):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """A model from up to `sample` labelled positives and `sample` unlabelled documents, those with the least hashes of doc_id.
+    """A model from up to `sample` labelled positives and up to `sample` of all labelled documents, those with the least hashes of doc_id.
 
     The prior is the share of positives among all labelled ids that are not held out. None without positives.
     """
     told = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    told = cut(told)
     shares = told.agg(F.avg((F.col("quality") == 1).cast("double")).alias("prior")).first()
-    pick = lambda df, seed: df.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
-    ids = pick(told.filter("quality = 1").select("doc_id"), 1).withColumn("u", F.lit(0)).union(pick(docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), 2).withColumn("u", F.lit(1)))
+    pick = lambda df, seed: df.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
+    ids = pick(told.filter("quality = 1"), 1).withColumn("u", F.lit(0)).union(pick(told, 2).withColumn("u", F.lit(1)))
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs).alias("text")).join(F.broadcast(cut(ids)), "doc_id").select("u", "text")  # at most 2 * sample ids
 
     def make(batches):
         for b in batches:
-            yield pa.record_batch([b.column(0), pa.array(list(features(b.column(1).to_pylist())), pa.list_(pa.float64()))], names=["u", "x"])
+            yield pa.record_batch([b.column(0), pa.array(list(features(b.column(1).to_pylist()).astype(np.float32)), pa.list_(pa.float32()))], names=["u", "x"])
 
-    rows = chosen.mapInArrow(make, "u int, x array<double>").toArrow()
+    rows = chosen.mapInArrow(make, "u int, x array<float>").toArrow()
     if not rows.num_rows:
         return None
-    x = np.asarray(rows["x"].combine_chunks().flatten()).reshape(rows.num_rows, -1)
+    x = np.asarray(rows["x"].combine_chunks().flatten()).reshape(rows.num_rows, -1).astype(np.float64)
     u = np.asarray(rows["u"]) == 1
     if shares["prior"] is None or u.all() or not u.any():
         return None
@@ -134,15 +149,20 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 def rate(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each document.
 
-    Null doc_id stays null and is not held out. Repeated rows are scored each. Ids with several labels are
-    positives only if all are 1. Other columns are no input; an empty table gives an empty result.
+    Whole texts are scored, however long; null counts as empty, and empty texts have a score too. Null doc_id stays
+    null and is not held out. Repeated rows are scored each. Ids with several labels are positives only if all are 1;
+    null labels count for nothing, and without a positive every score is 0.5. Other columns are no input, whatever
+    their names; an empty table gives an empty result.
     """
     out = score(docs, train(docs, labels, sample))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs whose text is predicted 1, with all columns."""
+    """The rows of docs whose text is predicted 1, with all columns; without a labelled positive all rows.
+
+    Nulls, long and repeated texts as in rate(); an empty table gives an empty one.
+    """
     model = train(docs, labels, sample)
     schema = docs.schema
     at = docs.columns.index("text")

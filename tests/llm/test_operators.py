@@ -1,5 +1,6 @@
 """Operators against brute force on small tables that hold nulls, empty texts, ties, repeated rows and clashing columns."""
 
+import gzip
 import hashlib
 import itertools
 import random
@@ -173,6 +174,29 @@ def test_warc_round_trip(spark, tmp_path):
     assert by[b"1"].payload_digest == hashlib.sha1(big.encode()).hexdigest()
 
 
+def test_warc_classes_of_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 30_000)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 9)
+    rows = [(i, "http://a", "x" * n) for i, n in enumerate([0, 5, 9000, 20_000, 300_000, 999, 1000, 1000])]
+    path = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(1), str(tmp_path / "w"))
+    assert len(list((tmp_path / "w").iterdir())) >= 2
+    got = warc.captures(warc.read_records(spark, path)).collect()
+    assert sorted(len(r.response.block.partition(b"\r\n\r\n")[2]) for r in got) == sorted([0, 5, 9000, 20_000, 300_000, 999, 1000, 0])
+
+
+def test_warc_empty_and_odd_archives(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.captures(warc.read_records(spark, warc.write_warc(none, str(tmp_path / "none")))).count() == 0
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "a.warc.gz").write_bytes(gzip.compress(record) + gzip.compress(record.replace(b"<a>", b"<b>")))
+    (tmp_path / "odd" / "b.warc").write_bytes(record.replace(b"<a>", b"<c>"))
+    assert sorted((r.id, r.block) for r in warc.read_records(spark, str(tmp_path / "odd")).collect()) == [("<a>", b"abc"), ("<b>", b"abc"), ("<c>", b"abc")]
+    (tmp_path / "odd" / "b.warc").write_bytes(record[:-6])
+    with pytest.raises(Exception):  # noqa: B017
+        warc.read_records(spark, str(tmp_path / "odd")).collect()
+
+
 def test_decontamination(spark):
     r = random.Random(1)
     item = [" ".join("".join(r.choice("abcdef") for _ in range(5)) for _ in range(30)) for _ in range(4)]
@@ -201,10 +225,10 @@ def test_decontamination_between_offsets(spark):
     assert got == pytest.approx(want)
 
 
-def fitted(cells, shares, order):
+def fitted(cells, shares, order, rounds=1000):
     """Plain raking of {cell: tokens} to shares by margin."""
     w = dict(cells)
-    for _ in range(4000):
+    for _ in range(rounds):
         for at, margin in enumerate(order):
             for v, x in shares[margin].items():
                 have = sum(y for c, y in w.items() if c[at] == v)
