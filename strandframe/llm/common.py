@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOWEST = -(2**63)
-#: Least time between two collections of what checkpoints left behind.
+#: Least time between two collections of what checkpoints left behind, in local sessions; on a cluster each is collected.
 COLLECT_SECONDS = 3.0
 _collected = [0.0]
 #: Words are runs of bytes other than these.
@@ -45,7 +45,7 @@ def cut(df: DataFrame) -> DataFrame:
     out = df.checkpoint(eager=True)
     del df
     # shuffle files behind an earlier checkpoint are of no more use; Spark drops them when their RDDs are collected
-    if time.monotonic() - _collected[0] > COLLECT_SECONDS:
+    if not spark.sparkContext.master.startswith("local") or time.monotonic() - _collected[0] > COLLECT_SECONDS:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         _collected[0] = time.monotonic()

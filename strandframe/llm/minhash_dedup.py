@@ -47,6 +47,16 @@ def digest(words: bytes) -> bytes:
     return hashlib.blake2b(words, digest_size=16).digest()
 
 
+def class_key(rep, words):
+    """16 hex digits of the least doc_id, as bytes that order as it does, and the words' digest: centres and leaders are early documents."""
+    return F.concat(F.unhex(F.lpad(F.hex(rep.bitwiseXOR(F.lit(LOWEST))), 16, "0")), words)
+
+
+def words_of(key):
+    """The digest in a class's key."""
+    return F.substring(key, 9, 16)
+
+
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
     """(doc, n, key, sketch): the number of shingles, a 128-bit digest of the words, the K least hashes, of sets of up to SHORT the K_SHORT least."""
 
@@ -139,8 +149,8 @@ def leaders(lists: DataFrame, centre: DataFrame) -> DataFrame:
     met = cut(lists.join(centre.select("value", F.col("d").alias("leader")), "value").groupBy("key", "n", "leader").agg(F.count(F.lit(1)).alias("times")))
     # both sides of the join come from checkpoints, so that a leader with many rows can be split
     fame = cut(met.groupBy("leader").agg(F.sum("times").alias("fame")))
-    own = met.join(fame, "leader").groupBy("key", "n").agg(F.collect_list(F.struct("fame", "leader", "times")).alias("x"), F.max("times").alias("most"))
-    return own.select("key", "n", F.array_max(F.filter("x", lambda y: y["times"] * 4 >= F.col("most")))["leader"].alias("leader"))
+    own = met.join(fame, "leader").groupBy("key", "n").agg(F.collect_list(F.struct((-F.col("fame")).alias("minus"), "leader", "times")).alias("x"), F.max("times").alias("most"))
+    return own.select("key", "n", F.array_min(F.filter("x", lambda y: y["times"] * 4 >= F.col("most")))["leader"].alias("leader"))
 
 
 def inside(led: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +207,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     made = cut(sketches(docs, words))
     filled = made.filter("n > 0")
     # a class is a sequence of words: its key, sketch and text are those of no other
-    classes = cut(filled.groupBy("key").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    classes = cut(filled.groupBy("key").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).withColumn("key", class_key(F.col("rep"), F.col("key"))))
     lists = dealt(listed(classes, percent), "value")
     several = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("value")
     active = lists.join(several, "value").select("key").distinct()
@@ -209,7 +219,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
             yield pa.record_batch([pa.array([digest(x) for x in texts], pa.binary()), pa.array([c.compress(x) for x in texts], pa.binary())], names=["key", "z"])
 
     small = docs.select(text_column(docs).alias("text")).mapInArrow(squeeze, "key binary, z binary")
-    texts = dealt(small.join(active, "key", "left_semi").dropDuplicates(["key"]), "key")
+    wanted = active.select(words_of("key").alias("same"), "key")
+    texts = dealt(small.withColumnRenamed("key", "same").join(wanted, "same").dropDuplicates(["key"]).select("key", "z"), "key")
     shape = classes.select("key", "n", "sketch")
 
     def alike(sa: str, sb: str, na: str, nb: str):
@@ -282,6 +293,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     # rows of one doc_id with different texts hold their classes together
     mixed = filled.filter(F.col("doc") != LOWEST).groupBy("doc").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a != z").select("doc", "a")
     twice = filled.select("doc", F.col("key").alias("b")).join(mixed, "doc").filter("a != b").select("a", "b").distinct()
+    for side in ("a", "b"):
+        twice = twice.join(classes.select(words_of("key").alias(side), F.col("key").alias("own")), side).drop(side).withColumnRenamed("own", side)
+    twice = twice.select("a", "b")
     edges = cut(links.union(twice))
     of = classes.select("key", "rep")
     if not edges.isEmpty():
@@ -289,7 +303,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         held = cut(held)
         least = cut(held.groupBy("component").agg(F.min("rep").alias("rep")))
         of = cut(held.select("key", "component").join(least, "component").select("key", "rep"))
-    out = made.select("doc", "n", "key").join(of, "key", "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("component"))
+    out = made.select("doc", "n", "key").join(of.select(words_of("key").alias("key"), "rep"), "key", "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("component"))
     null = lambda c: F.when(F.col(c) != LOWEST, F.col(c))
     return out.select(null("doc").alias("doc_id"), F.col("n").alias("n_shingles"), null("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept"))
 
