@@ -18,6 +18,8 @@ SHARE, POWER = 0.7, 0.75
 #: Raking goes on until no margin's share is further from its target, a few rounds between two looks, up to a bound
 #: that targets without a common solution reach.
 TOLERANCE, ROUNDS_A_LOOK, MOST_LOOKS = 1e-4, 4, 25
+#: Targets that contradict each other are known by a distance that a look leaves nearly as it was.
+STALLED = 0.99
 #: Cells up to which raking takes place in one partition; beyond, each margin is a shuffle.
 ONE_PARTITION = 50_000
 #: Cells up to which their probabilities are sent to all executors; beyond, documents are shuffled.
@@ -50,11 +52,11 @@ def targets(base: DataFrame, margin: str, given: dict | None = None, power: floa
 
 def furthest(now: DataFrame, wanted: dict[str, DataFrame]) -> float:
     """The largest distance of a margin's share from its target."""
-    most = 0.0
-    for margin in wanted:
-        sums = now.groupBy(margin).agg(F.abs(F.sum("w") - F.max(f"{margin}_share")).alias("d"))
-        most = max(most, sums.agg(F.coalesce(F.max("d"), F.lit(0.0))).first()[0])
-    return most
+    each = [now.groupBy(margin).agg(F.abs(F.sum("w") - F.max(f"{margin}_share")).alias("d")).select("d") for margin in wanted]
+    out = each[0]
+    for more in each[1:]:
+        out = out.union(more)
+    return out.agg(F.coalesce(F.max("d"), F.lit(0.0))).first()[0]
 
 
 def raked(base: DataFrame, wanted: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
@@ -64,6 +66,7 @@ def raked(base: DataFrame, wanted: dict[str, DataFrame], tolerance: float = TOLE
         now = now.join(share.withColumnRenamed("share", f"{margin}_share"), margin, "left").fillna(0.0, [f"{margin}_share"])
     now = cut(now)
     small = now.count() <= ONE_PARTITION
+    before = float("inf")
     for _ in range(MOST_LOOKS):
         if small:
             now = now.coalesce(1)
@@ -72,8 +75,10 @@ def raked(base: DataFrame, wanted: dict[str, DataFrame], tolerance: float = TOLE
                 have = F.sum("w").over(Window.partitionBy(margin))  # over cells, whose number doesn't grow with the documents
                 now = now.withColumn("w", F.when(have > 0, F.col("w") * F.col(f"{margin}_share") / have).otherwise(F.lit(0.0)))
         now = cut(now)
-        if furthest(now, wanted) <= tolerance:
+        far = furthest(now, wanted)
+        if far <= tolerance or far > STALLED * before:
             break
+        before = far
     return now.select(*base.columns, "w")
 
 
