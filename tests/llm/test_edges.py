@@ -128,3 +128,19 @@ def test_frequent_lines_are_dealt_window_by_window(spark, monkeypatch, hot, piec
     rows = [(i, " ".join([*(word() for _ in range(r.randint(0, 15))), line, *(word() for _ in range(r.randint(0, 15)))] * r.randint(1, 2))) for i in range(80)]
     got = {x.doc_id: (x.n_bytes, x.n_removed, list(x.kept)) for x in suffix_dedup.remove_repeated_bytes(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == brute(rows, lambda t: t.encode(), 50, False)
+
+
+def test_crowded_classes_are_split(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "SPLIT", 2)
+    line = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(line[: 60 - i % 12] + [f"own{i}x{j}" for j in range(i * 7 % 13 * 4)])) for i in range(40)]
+    rows += [(100 + i, " ".join(line[:30] + [f"two{j}" for j in range(40 + i)])) for i in range(12)]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                label[a] = label[b] = min(label[a], label[b])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: (len(sets[i]), label[i]) for i in sets}
+    assert len(set(label.values())) > 4
