@@ -204,8 +204,9 @@ def outside(led: DataFrame, texts: DataFrame, percent: int, words: int) -> DataF
                 out.append(np.setdiff1d(many_shingles([un.decompress(zd[i])], words)[0], last[1], assume_unique=True))
             yield pa.record_batch([*(batch.column(i) for i in range(4)), pa.array(out, pa.list_(pa.int64()))], names=["key", "n", "leader", "i", "rest"])
 
-    open_ = led.filter("component != of").select("leader").distinct()
-    rows = led.join(open_, "leader", "left_semi").filter("n > i").select("key", "n", "leader", "i")
+    # both sides of the join come from checkpoints, and what counts its rows comes after one, so that a leader with many rows can be split
+    open_ = cut(led.filter("component != of").select("leader").distinct())
+    rows = cut(led.join(open_, "leader", "left_semi").filter("n > i").select("key", "n", "leader", "i"))
     crowds = crowded(rows, "leader")
     rows = with_text(rows.join(texts.select("key", F.col("z").alias("zd")), "key"), crowds, texts, "leader", "zl")
     made = rows.select("key", "n", "leader", "i", "zd", "zl").mapInArrow(rest, "key binary, n long, leader binary, i long, rest array<long>")
