@@ -121,28 +121,41 @@ def set_sizes(a: list[bytes], b: list[bytes], words: int) -> tuple[int, int, int
     return len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))
 
 
-def crowded(rows: DataFrame, name: str) -> DataFrame:
-    """(name, parts) of the classes that more than SPLIT rows name."""
-    return rows.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / SPLIT).alias("parts")).filter("parts > 1")
+def crowded(rows: DataFrame, name: str) -> DataFrame | None:
+    """(name, parts) of the classes that more than SPLIT rows name; None if there are none. rows: a checkpoint."""
+    crowds = rows.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / SPLIT).alias("parts")).filter("parts > 1")
+    return None if crowds.isEmpty() else cut(crowds)
 
 
-def with_text(rows: DataFrame, crowds: DataFrame, texts: DataFrame, name: str, z: str) -> DataFrame:
-    """rows with the text, as z, of the class that column `name` holds; texts: (key, z), dealt by key.
+def marked(rows: DataFrame, crowds: DataFrame | None, name: str) -> DataFrame:
+    """rows with the parts of the class that column `name` holds, null if it isn't crowded."""
+    parts = f"parts_{name}"
+    if crowds is None:
+        return rows.withColumn(parts, F.lit(None).cast("long"))
+    # a cut, so that rows of a crowd are left out of joins by `name` before they are shuffled
+    return cut(rows.join(crowds.withColumnRenamed("parts", parts), name, "left"))
+
+
+def with_text(rows: DataFrame, crowds: DataFrame | None, texts: DataFrame, name: str, z: str) -> DataFrame:
+    """marked() rows with the text, as z, of the class that column `name` holds; texts: (key, z), dealt by key.
 
     The texts stay where they are but for those of `crowds`, which go to each of the class's parts, a copy for about SPLIT rows.
     """
     text = texts.select(F.col("key").alias(name), F.col("z").alias(z))
-    if crowds.isEmpty():
+    if crowds is None:
         return rows.join(text, name)
-    few = rows.join(crowds, name, "left_anti").join(text, name)
+    parts = F.col(f"parts_{name}")
+    few = rows.filter(parts.isNull()).join(text, name)
     copies = text.join(crowds, name).select(name, z, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    many = rows.join(crowds, name).withColumn("part", F.pmod(F.xxhash64(*rows.columns), "parts")).join(copies, [name, "part"])
+    many = rows.filter(parts.isNotNull()).withColumn("part", F.pmod(F.xxhash64(*rows.columns), parts)).join(copies, [name, "part"])
     return few.select(*rows.columns, z).union(many.select(*rows.columns, z))
 
 
 def compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, na, nb, both) of pairs: the sizes of their whole sets and of the intersection, by the words themselves; texts: (key, z)."""
     pairs = cut(pairs)
+    many_a, many_b = crowded(pairs, "a"), crowded(pairs, "b")
+    pairs = marked(marked(pairs, many_a, "a"), many_b, "b")
 
     def check(batches):
         un = zstandard.ZstdDecompressor()
@@ -157,8 +170,8 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             columns = np.array(sizes, np.int64).reshape(-1, 3).T
             yield pa.record_batch([batch.column(0), batch.column(1), *map(pa.array, columns)], names=["a", "b", "na", "nb", "both"])
 
-    with_a = with_text(pairs, crowded(pairs, "a"), texts, "a", "za")
-    both = with_text(with_a, crowded(pairs, "b"), texts, "b", "zb")
+    with_a = with_text(pairs, many_a, texts, "a", "za")
+    both = with_text(with_a, many_b, texts, "b", "zb")
     return both.select("a", "b", "za", "zb").mapInArrow(check, "a binary, b binary, na long, nb long, both long")
 
 
@@ -208,6 +221,7 @@ def outside(led: DataFrame, texts: DataFrame, percent: int, words: int) -> DataF
     open_ = cut(led.filter("component != of").select("leader").distinct())
     rows = cut(led.join(open_, "leader", "left_semi").filter("n > i").select("key", "n", "leader", "i"))
     crowds = crowded(rows, "leader")
+    rows = marked(rows, crowds, "leader")
     rows = with_text(rows.join(texts.select("key", F.col("z").alias("zd")), "key"), crowds, texts, "leader", "zl")
     made = rows.select("key", "n", "leader", "i", "zd", "zl").mapInArrow(rest, "key binary, n long, leader binary, i long, rest array<long>")
     each = cut(made.select("key", "n", "i", F.explode("rest").alias("u"), "leader").select("key", "n", "i", F.xxhash64("leader", "u").alias("value")))
