@@ -15,6 +15,7 @@ become one component, and only pairs of different components remain for the next
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWEST, cut, dealt, many_shingles, text_column
+from .common import LOWEST, cut, dealt, many_shingles, partitions, text_column
 from .components import components
 
 K, K_SHORT, SHORT = 48, 128, 256
@@ -123,8 +124,9 @@ def set_sizes(a: list[bytes], b: list[bytes], words: int) -> tuple[int, int, int
 
 def crowded(rows: DataFrame, name: str) -> DataFrame | None:
     """(name, parts) of the classes that more than SPLIT rows name; None if there are none. rows: a checkpoint."""
-    crowds = rows.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / SPLIT).alias("parts")).filter("parts > 1")
-    return None if crowds.isEmpty() else cut(crowds)
+    crowds = cut(rows.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / SPLIT).alias("parts")).filter("parts > 1"))
+    # one task looks at all parts of so few rows, where isEmpty() alone starts job after job
+    return None if crowds.coalesce(1).isEmpty() else crowds
 
 
 def marked(rows: DataFrame, crowds: DataFrame | None, name: str) -> DataFrame:
@@ -280,9 +282,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     def ordered(x: str, y: str):
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
-    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    def labelled(rows: DataFrame, links: list[DataFrame]) -> DataFrame:
         """rows with the component of their key."""
-        return rows.join(components(links).withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        return rows.join(components(reduce(DataFrame.union, links)).withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
 
     # each class with the least of each of its lists, and with its leader whatever the estimate
     centre = cut(lists.groupBy("value").agg(F.min(F.struct("key", "n")).alias("x"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("value", F.col("x.key").alias("d"), F.col("x.n").alias("m")))
@@ -290,12 +292,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     first = lists.join(centre, "value").filter((F.col("key") != F.col("d")) & close("n", "m")).select(*ordered("key", "d")).distinct()
     follow = lead.filter("key != leader").select(*ordered("key", "leader"))
     sizes = cut(compared(likely(first).union(follow).distinct(), texts, words))
-    links = cut(linked(sizes, percent))
+    # a checkpoint for each step that finds links; none is written again with the next
+    links = [cut(linked(sizes, percent))]
     shared = lead.select("key", "n", "leader", *ordered("key", "leader")).join(sizes.select("a", "b", "both"), ["a", "b"], "left")
     led = labelled(shared.select("key", "n", "leader", F.coalesce("both", "n").alias("i")), links)
     led = cut(led.join(led.filter("key = leader").select("leader", F.col("component").alias("own")), "leader", "left").withColumn("of", F.coalesce("own", "leader")).drop("own"))
     # those of one leader: by what they share with it, by lists of what they share beside it; of several: by the lists
-    links = cut(links.union(verified(inside(led, percent))))
+    links.append(cut(verified(inside(led, percent))))
     beside = outside(led, texts, percent, words).select("value", "key", "n", F.col("key").alias("side"))
     across = lists.join(lead.select("key", "leader"), "key").select("value", "key", "n", F.col("leader").alias("side"))
     lists = cut(across.union(beside))
@@ -324,19 +327,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         met = open_.join(other, "value").filter((F.col("component") != F.col("o")) & (F.col("side") != F.col("p")) & close("n", "nd"))
         if last:
             met = met.filter((F.col("key") < F.col("d")) & (F.array_min(F.array_intersect("values", "values_d")) == F.col("value")) & alike("sketch", "sketch_d", "n", "nd"))
-            links = cut(links.union(linked(compared(met.select(*ordered("key", "d")).distinct(), texts, words), percent)))
+            links.append(cut(linked(compared(met.select(*ordered("key", "d")).distinct(), texts, words), percent)))
             break
-        links = cut(links.union(verified(met.select(*ordered("key", "d")).distinct())))
+        links.append(cut(verified(met.select(*ordered("key", "d")).distinct())))
         lists = open_.select("value", "key", "n", "side")
     # rows of one doc_id with different texts hold their classes together
     mixed = filled.filter(F.col("doc") != LOWEST).groupBy("doc").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a != z").select("doc", "a")
     twice = filled.select("doc", F.col("key").alias("b")).join(mixed, "doc").filter("a != b").select("a", "b").distinct()
     for side in ("a", "b"):
         twice = twice.join(classes.select(words_of("key").alias(side), F.col("key").alias("own")), side).drop(side).withColumnRenamed("own", side)
-    twice = twice.select("a", "b")
-    edges = cut(links.union(twice))
+    edges = reduce(DataFrame.union, [*links, cut(twice.select("a", "b"))])
     of = classes.select("key", "rep")
-    if not edges.isEmpty():
+    if not edges.coalesce(partitions(docs.sparkSession)).isEmpty():
         held = of.join(components(edges).withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
         held = cut(held)
         least = cut(held.groupBy("component").agg(F.min("rep").alias("rep")))

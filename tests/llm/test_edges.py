@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from strandframe.llm import minhash_dedup, pii, relative_lz, repeats, suffix_dedup
+from strandframe.llm import components, minhash_dedup, pii, relative_lz, repeats, suffix_dedup
 
 from .test_operators import brute
 
@@ -144,3 +144,34 @@ def test_crowded_classes_are_split(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {i: (len(sets[i]), label[i]) for i in sets}
     assert len(set(label.values())) > 4
+
+
+def test_components_at_once_and_in_rounds(spark):
+    r = random.Random(8)
+    path = [(b"%04d" % i, b"%04d" % (i + 1)) for i in range(300)]
+    pairs = [*path, *[(b"x%03d" % r.randrange(400), b"x%03d" % r.randrange(400)) for _ in range(250)], (b"z", b"z")]
+    r.shuffle(pairs)
+    label: dict = {x: x for p in pairs for x in p}
+    while any(label[a] != label[b] for a, b in pairs):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    edges = spark.createDataFrame(pairs, "a binary, b binary").repartition(40).checkpoint()
+    for few in (len(pairs), 0):
+        assert {bytes(x.node): bytes(x.component) for x in components.components(edges, few).collect()} == label
+    numbers = spark.createDataFrame([(-3, 2), (2, 2**40), (7, 7)], "a long, b long")
+    assert sorted(tuple(x) for x in components.components(numbers).collect()) == [(-3, -3), (2, -3), (7, 7), (2**40, -3)]
+    assert not components.components(numbers.filter("a > 9")).collect()
+
+
+def test_few_edges_take_few_tasks(spark):
+    """Each task takes driver memory and disk for its record: a few edges are not dealt over all partitions round by round."""
+    edges = spark.range(0, 2000, 1, 40).selectExpr("id as a", "id div 10 as b").checkpoint()
+    context = spark.sparkContext
+    context.setJobGroup("few edges", "")
+    try:
+        assert components.components(edges).filter("component = 0").count() == 2000
+        tracker = context.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(j).stageIds}
+        assert sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s))) <= 20
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
