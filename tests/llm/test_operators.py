@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import itertools
+import os
 import random
 import re
 from collections import Counter
@@ -312,6 +313,17 @@ def test_ann_recall_and_odd_vectors(spark):
     assert hits >= 0.9 * 100
 
 
+def test_ann_is_not_fitted_in_the_driver(spark, monkeypatch):
+    x = np.random.default_rng(5).normal(size=(300, 8))
+    v = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    train, driver = additive_ann.train, os.getpid()
+    monkeypatch.setattr(additive_ann, "train", lambda x: train(x) if os.getpid() != driver else pytest.fail("the driver holds the sample"))
+    got = {(r.query_id, r["rank"]): r.vec_id for r in additive_ann.nearest(v, v.filter("vec_id % 50 = 0")).collect()}
+    s = (u := x / np.linalg.norm(x, axis=1, keepdims=True)) @ u.T - 3 * np.eye(300)
+    assert got == {(q, n + 1): int(j) for q in range(0, 300, 50) for n, j in enumerate(np.argsort(-s[q])[:5])}
+    assert not additive_ann.nearest(v.filter("vec_id = 50"), v).collect()
+
+
 def test_ann_is_exact_on_many_rows(spark):
     x = np.random.default_rng(3).normal(size=(20_000, 64))
     x[7000:7300] = x[50]  # copies, more than are reranked
