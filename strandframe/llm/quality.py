@@ -86,8 +86,9 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     for t in range(1, steps + 1):
         fp, fu = 1 / (1 + np.exp(-np.clip(p @ w, -30, 30))), 1 / (1 + np.exp(-np.clip(u @ w, -30, 30)))
         negative = -np.log1p(-np.minimum(fu, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(fp, 1 - 1e-12)).mean()
-        plus = -prior * ((1 - fp)[:, None] * p).mean(0)
-        minus = (fu[:, None] * u).mean(0) - prior * (fp[:, None] * p).mean(0)
+        # as products, which need no copy of the sample
+        plus = -prior * ((1 - fp) @ p) / len(p)
+        minus = fu @ u / len(u) - prior * (fp @ p) / len(p)
         # where the negative risk is under zero, only it is raised again
         g = plus + minus if negative >= 0 else -minus
         g = g + decay * w
@@ -122,16 +123,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | No
         for b in batches:
             yield pa.record_batch([b.column(0), pa.array(list(features(b.column(1).to_pylist()).astype(np.float32)), pa.list_(pa.float32()))], names=["u", "x"])
 
-    rows = chosen.mapInArrow(make, "u int, x array<float>").toArrow()
-    if not rows.num_rows:
+    if shares["prior"] is None:
         return None
-    x = np.asarray(rows["x"].combine_chunks().flatten()).reshape(rows.num_rows, -1).astype(np.float64)
-    u = np.asarray(rows["u"]) == 1
-    if shares["prior"] is None or u.all() or not u.any():
-        return None
-    order = np.lexsort(x.T[::-1])  # the sums don't depend on the order in which rows came
-    x, u = x[order], u[order]
-    return fit(x[~u], x[u], min(float(shares["prior"]), 0.99))
+    prior = min(float(shares["prior"]), 0.99)
+
+    def fitted(batches):
+        # one row of the model's floats; in a task, so that the driver holds no sample
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        u = np.concatenate([np.asarray(b.column(0)) for b in held]) == 1
+        if u.all() or not u.any():
+            return
+        x = np.concatenate([np.asarray(b.column(1).flatten()) for b in held]).reshape(len(u), -1)
+        held.clear()
+        order = np.lexsort(x.T[::-1])  # the sums don't depend on the order in which rows came
+        x, u = x[order], u[order]
+        model = fit(x[~u].astype(np.float64), x[u].astype(np.float64), prior)
+        yield pa.record_batch([pa.array([v.tobytes()], pa.binary()) for v in model.values()], names=["mean", "sd", "w"])
+
+    # a shuffle of at most 2 * sample rows, as texts are read and counted in all tasks
+    model = chosen.mapInArrow(make, "u int, x array<float>").repartition(1).mapInArrow(fitted, "mean binary, sd binary, w binary").first()
+    return {k: np.frombuffer(v) for k, v in model.asDict().items()} if model else None
 
 
 def score(docs: DataFrame, model: dict | None) -> DataFrame:

@@ -6,6 +6,7 @@ import itertools
 import os
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -348,6 +349,21 @@ def test_quality_ranks_held_out(spark):
     assert held and min(got[i].score for i in held if i % 4) > max(got[i].score for i in held if i % 4 == 0)
 
 
+def test_quality_is_not_fitted_in_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("GOOD one " if i % 3 else "bad! two ") * (i + 1)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    x = quality.features([r.text.encode() for r in docs.orderBy("doc_id").collect()]).astype(np.float32).astype(float)
+    u = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    p = [i for i in u if i % 3]
+    order = lambda y: y[np.lexsort(y.T[::-1])]
+    want = quality.fit(order(x[p]), order(x[u]), len(p) / len(u))
+    fit, driver = quality.fit, os.getpid()
+    monkeypatch.setattr(quality, "fit", lambda *a: fit(*a) if os.getpid() != driver else pytest.fail("the driver holds the sample"))
+    got = quality.train(docs, labels)
+    assert {*got} == {*want} and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+    assert quality.train(docs, labels.filter("quality = 0")) is None and quality.train(docs.filter("doc_id < 0"), labels) is None
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.remove_repeated_bytes(none).count() == 0
